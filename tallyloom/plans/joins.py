@@ -134,8 +134,8 @@ def zipped(t: Tables):
     return rows.select(
         "p_partkey",
         (F.col("at") + 1).cast("bigint").alias("place"),
-        F.col("pair")["0"].alias("word"),
-        F.col("pair")["1"].cast("bigint").alias("letters"),
+        F.col("pair.word").alias("word"),
+        F.col("pair.letters").cast("bigint").alias("letters"),
     )
 
 
