@@ -23,10 +23,14 @@ SCORE_WORDS = ("true", "love")
 
 def title_case(text: Column) -> Column:
     """Capital after every non-letter, small letters elsewhere."""
+
+    def capital(run: Column) -> Column:
+        # one small letter may have two capitals, of which only the first stays
+        first = F.upper(F.substring(run, 1, 1))
+        return F.concat(F.substring(first, 1, 1), F.lower(F.substr(first, F.lit(2))), F.lower(F.substr(run, F.lit(2))))
+
     runs = F.regexp_extract_all(text, F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
-    return F.array_join(
-        F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substr(r, F.lit(2))))), ""
-    )
+    return F.array_join(F.transform(runs, capital), "")
 
 
 def words(text: Column) -> Column:

@@ -17,8 +17,8 @@ def replaced(t: Tables):
 @query(
     "str_case",
     """SELECT doc_id, md5(replace(upper(text), 'ẞ', 'SS')) AS upper, md5(lower(text)) AS lower,
-              md5(array_to_string(list_transform(regexp_extract_all(text, '(\\pL+|[^\\pL]+)'),
-                  lambda r: upper(left(r, 1)) || lower(substr(r, 2))), '')) AS title FROM documents""",
+              md5(replace(array_to_string(list_transform(regexp_extract_all(text, '(\\pL+|[^\\pL]+)'),
+                  lambda r: upper(left(r, 1)) || lower(substr(r, 2))), ''), 'ẞ', 'Ss')) AS title FROM documents""",
 )
 def cases(t: Tables):
     return t.documents.select(
@@ -85,8 +85,8 @@ def letter_scores(t: Tables):
 
 @query(
     "str_acronym",
-    """SELECT doc_id, md5(array_to_string(list_transform(
-         list_filter(string_split_regex(text, '\\s+'), lambda w: w <> ''), lambda w: upper(left(w, 1))), '')) AS digest
+    """SELECT doc_id, md5(replace(array_to_string(list_transform(
+         list_filter(string_split_regex(text, '\\s+'), lambda w: w <> ''), lambda w: upper(left(w, 1))), ''), 'ẞ', 'SS')) AS digest
        FROM documents""",
 )
 def acronyms(t: Tables):
