@@ -63,7 +63,7 @@ def guess_language(docs: DataFrame, doc_id: str, text: str, lang: str, size: int
     return rows.select(doc_id, lang).join(best, doc_id, "left")
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
+def _spread(df: DataFrame, key: str | Column) -> DataFrame:
     """Hash partitions in a fixed number: few rows that each mean much work are not merged into one task."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
@@ -116,7 +116,8 @@ def correct_words(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
     # counted once from the corpus, then read three times
     vocabulary = materialize(vocabulary.select("word", "n"), "vocabulary")
     known = vocabulary.select(F.col("word").alias("candidate"), "n")
-    unknown = _spread(words.join(vocabulary.select("word"), "word", "left_anti"), "word")
+    unknown = words.join(vocabulary.select("word"), "word", "left_anti")
+    unknown = _spread(unknown, F.xxhash64("word"))
     wrong = unknown.select("word", F.explode(deletion_keys(F.col("word"))).alias("key"))
     right = known.select("candidate", "n", F.explode(deletion_keys(F.col("candidate"))).alias("key"))
     right = _small(right, vocabulary.count() * 56)  # 1 + 10 + 45 keys at most
