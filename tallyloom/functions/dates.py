@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# dayofweek numbers of the weekly frequencies; the week of plain W ends on Sunday.
-_WEEK_DAYS = {"W": 1, "W-SUN": 1, "W-MON": 2, "W-TUE": 3, "W-WED": 4, "W-THU": 5, "W-FRI": 6, "W-SAT": 7}
+# The day each weekly frequency names; that of plain W is Sunday.
+_WEEK_DAYS = {"W": "SUN", **{f"W-{d}": d for d in ("MON", "TUE", "WED", "THU", "FRI", "SAT", "SUN")}}
 
 
 def parse(text: Column, pattern: str | None = None) -> Column:
@@ -72,14 +72,23 @@ def date_range(start: Column, stop: Column, freq: str) -> Column:
     if freq == "B":
         return F.filter(F.sequence(start, stop), lambda d: F.weekday(d) < 5)
     if freq in _WEEK_DAYS:
-        return F.filter(F.sequence(start, stop), lambda d: F.dayofweek(d) == _WEEK_DAYS[freq])
+        return _steps(F.next_day(F.date_sub(start, 1), _WEEK_DAYS[freq]), stop, "7 day")
     if freq in ("M", "MS", "A", "AS"):
         unit, months = ("month", 1) if freq[0] == "M" else ("year", 12)
-        firsts = F.sequence(F.trunc(start, unit), stop, F.expr(f"interval {months} month"))
         if freq.endswith("S"):
-            return F.filter(firsts, lambda d: d >= start)
-        return F.filter(F.transform(firsts, lambda d: F.last_day(F.add_months(d, months - 1))), lambda d: d <= stop)
-    return F.sequence(start, stop, F.expr(f"interval {_step(freq)}"))
+            this = F.trunc(start, unit)
+            return _steps(F.when(this == start, this).otherwise(F.add_months(this, months)), stop, f"{months} month")
+        # the period of the last day wanted is over when the day after ``stop`` opens a new one
+        final = F.add_months(F.trunc(F.date_add(stop, 1), unit), -months)
+        opened = _steps(F.trunc(start, unit), final, f"{months} month")
+        return F.transform(opened, lambda d: F.date_sub(F.add_months(d, months), 1))
+    return _steps(start, stop, _step(freq))
+
+
+def _steps(start: Column, stop: Column, step: str) -> Column:
+    """A rising sequence, empty when it would start after its end."""
+    rising = F.sequence(start, stop, F.expr(f"interval {step}"))
+    return F.when(start <= stop, rising).when(start > stop, F.slice(F.array(start), 1, 0))
 
 
 def date_periods(first: Column, periods: int, backward: bool = False) -> Column:

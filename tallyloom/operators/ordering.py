@@ -23,12 +23,17 @@ WINDOW_ROWS = 4_000_000
 _PARTITION_SHIFT = 33  # monotonically_increasing_id keeps the partition above this bit
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the biggest group; one partial-aggregated pass over the keys alone."""
+def group_extent(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Rows in the biggest group and the number of groups; one pass over the keys alone."""
     if not keys:
-        return df.count()
-    biggest = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
-    return biggest or 0
+        return df.count(), 1
+    counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    biggest, groups = counts.agg(F.max("n"), F.count("*")).first()
+    return biggest or 0, groups
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    return group_extent(df, keys)[0]
 
 
 def running_total(

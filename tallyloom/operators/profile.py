@@ -21,31 +21,20 @@ def shape(df: DataFrame) -> DataFrame:
     )
 
 
-def _per_column(df: DataFrame, measure, name: str) -> DataFrame:
-    """``measure(column)`` for every column in one pass, one output row per column."""
-    wide = df.agg(*[measure(c).alias(c) for c in df.columns])
-    return wide.unpivot([], df.columns, "column", name)
-
-
 def info(df: DataFrame) -> DataFrame:
     """Type and non-null count per column."""
     types = F.create_map(*[F.lit(x) for pair in df.dtypes for x in pair])
-    counts = _per_column(df, F.count, "non_null")
+    counts = non_null_counts(df).unpivot([], df.columns, "column", "non_null")
     return counts.select("column", F.element_at(types, F.col("column")).alias("dtype"), "non_null")
 
 
 def null_counts(df: DataFrame) -> DataFrame:
-    """Nulls per column, and whether the table has any at all."""
-    counts = _per_column(df, lambda c: F.count_if(F.col(c).isNull()), "nulls")
-    anywhere = df.agg(F.bool_or(_any_null(df.columns))).scalar()
-    return counts.withColumn("any_null_in_table", anywhere)
-
-
-def _any_null(columns: Sequence[str]) -> Column:
-    found = F.lit(False)
-    for c in columns:
-        found = found | F.col(c).isNull()
-    return found
+    """Nulls per column, and whether the table has any at all; one pass."""
+    wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    anywhere = F.exists(F.array(*df.columns), lambda n: n > 0)
+    return wide.withColumn("any_null_in_table", anywhere).unpivot(
+        ["any_null_in_table"], df.columns, "column", "nulls"
+    )
 
 
 def non_null_counts(df: DataFrame) -> DataFrame:

@@ -7,7 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.ordering import WINDOW_ROWS, largest_group, running_total
+from tallyloom.operators.ordering import group_extent, largest_group, running_total
+
+# The most values of one group that one aggregation buffer is given.
+BUFFER_ROWS = 1_000_000
+
+# Up to this many groups, one row per group is sent to every task.
+BROADCAST_GROUPS = 100_000
 
 
 def quantiles(
@@ -16,7 +22,7 @@ def quantiles(
     value: str,
     probabilities: Sequence[float],
     names: Sequence[str],
-    window_rows: int = WINDOW_ROWS,
+    window_rows: int = BUFFER_ROWS,
 ) -> DataFrame:
     """One row per group with linearly interpolated quantiles of the non-null values.
 
@@ -66,7 +72,7 @@ def _attach(ranked: DataFrame, sizes: DataFrame, keys: list[str]) -> DataFrame:
     return ranked.join(renamed, same, "inner").drop(*[f"_k_{k}" for k in keys])
 
 
-def describe(df: DataFrame, columns: Sequence[str], window_rows: int = WINDOW_ROWS) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str], window_rows: int = BUFFER_ROWS) -> DataFrame:
     """count, mean, sample deviation, min, quartiles and max, one row per numeric column."""
     long = df.select([F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], list(columns), "column", "value"
@@ -85,25 +91,25 @@ def describe(df: DataFrame, columns: Sequence[str], window_rows: int = WINDOW_RO
 
 
 def box_stats(
-    df: DataFrame, keys: Sequence[str], value: str, window_rows: int = WINDOW_ROWS
+    df: DataFrame, keys: Sequence[str], value: str, window_rows: int = BUFFER_ROWS
 ) -> DataFrame:
     """Quartiles, whiskers inside 1.5 IQR and the number of outliers per group."""
     keys = list(keys)
-    present = df.filter(F.col(value).isNotNull())
-    quartiles = quantiles(present, keys, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"], window_rows)
-    # fold repeated values first: the join and the whiskers then work on counts
-    tallies = present.groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    present = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
+    quartiles = quantiles(present, keys, "_v", [0.25, 0.5, 0.75], ["q1", "median", "q3"], window_rows)
+    if group_extent(present, keys)[1] <= BROADCAST_GROUPS:
+        rows, n = present.join(F.broadcast(quartiles), keys), F.lit(1)
+    else:
+        # fold repeated values before the shuffle of the join
+        tallies = present.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
+        rows, n = tallies.join(quartiles, keys), F.col("_n")
     fence = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col("_v").between(F.col("q1") - fence, F.col("q3") + fence)
-    return (
-        tallies.join(quartiles, keys, "inner")
-        .groupBy(*keys)
-        .agg(
-            F.first("q1").alias("q1"),
-            F.first("median").alias("median"),
-            F.first("q3").alias("q3"),
-            F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
-            F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
-            F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("outliers"),
-        )
+    return rows.groupBy(*keys).agg(
+        F.first("q1").alias("q1"),
+        F.first("median").alias("median"),
+        F.first("q3").alias("q3"),
+        F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
+        F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
+        F.sum(F.when(inside, F.lit(0)).otherwise(n)).cast("long").alias("outliers"),
     )

@@ -36,11 +36,9 @@ def insert(path: str, rows: DataFrame, schema: T.StructType | str) -> None:
 def by_key(df: DataFrame, key: str, value) -> DataFrame:
     """The row with a key; absence is an error when the result is read."""
     found = df.filter(F.col(key) == value)
-    absent = F.raise_error(F.lit(f"no row with {key} = {value}")).cast("boolean")
-    n = found.agg(F.count("*").alias("n")).filter(F.when(F.col("n") > 0, F.lit(True)).otherwise(absent))
-    # the one-row count comes first, so it is read even when nothing was found
-    hit = n.select(F.lit(value).alias("_k")).join(found.withColumn("_k", F.lit(value)), "_k", "left")
-    return hit.select(*df.columns)
+    absent = F.raise_error(F.lit(f"no row with {key} = {value}"))
+    refusal = found.agg(F.count("*").alias("n")).filter("n = 0")
+    return found.union(refusal.select(*[absent.cast(f.dataType).alias(f.name) for f in df.schema.fields]))
 
 
 def update(df: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -148,10 +148,9 @@ def ranges(t: Tables):
         "days": "D", "every_second": "2D", "business": "B", "sundays": "W", "fridays": "W-FRI",
         "month_ends": "M", "month_starts": "MS", "year_ends": "A",
     }
-    return spans.select(
-        "o_custkey",
-        *[F.size(dates.date_range(a, b, freq)).alias(name) for name, freq in frequencies.items()],
-        F.array_max(dates.date_range(a, b, "B")).alias("last_business"),
+    counted = spans.select("o_custkey", *[dates.date_range(a, b, freq).alias(n) for n, freq in frequencies.items()])
+    return counted.select(
+        "o_custkey", *[F.size(n).alias(n) for n in frequencies], F.array_max("business").alias("last_business")
     )
 
 

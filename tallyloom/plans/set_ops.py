@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallyloom.operators.joins import keep_missing
+from tallyloom.operators.sets import bag_difference
 from tallyloom.plans.registry import Tables, query
 
 
@@ -35,7 +36,7 @@ def widened(t: Tables):
 def one_copy_removed(t: Tables):
     deck = t.lineitem.select(F.col("l_partkey").alias("card"))
     known = t.part.filter("p_size > 10").select(F.col("p_partkey").alias("card"))
-    return deck.exceptAll(known)
+    return bag_difference(deck, known)
 
 
 @query(

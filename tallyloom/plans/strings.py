@@ -138,8 +138,8 @@ def regular_expressions(t: Tables):
        WHERE contains(w, '@') GROUP BY ALL""",
 )
 def emails(t: Tables):
-    tokens = t.documents.select("doc_id", F.explode(text.words(F.col("text"))).alias("email"))
-    tokens = tokens.filter(F.contains("email", F.lit("@")))
+    with_sign = F.filter(text.words(F.col("text")), lambda w: F.contains(w, F.lit("@")))
+    tokens = t.documents.filter(F.contains("text", F.lit("@"))).select("doc_id", F.explode(with_sign).alias("email"))
     counted = tokens.groupBy("doc_id", "email").agg(F.count("*").alias("n"))
     return counted.withColumn("valid", text.is_email(F.col("email")))
 

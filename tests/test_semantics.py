@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import arrays, maps, randomness, text
 from tallyloom.operators import aggregates, apply, clean, filters, joins, profile, reshape
+from tallyloom.operators.sets import bag_difference
 from tallyloom.sources import readers
 
 
@@ -322,6 +323,14 @@ def test_groups_applied_in_rounds(spark):
     assert {tuple(r) for r in got} == {(0, 4998), (0, 4995), (1, 4999), (1, 4996), (2, 4997), (2, 4994)}
 
 
+def test_bag_difference_takes_one_copy_each(spark):
+    left = spark.createDataFrame([("a",)] * 25 + [("b",)] * 2 + [(None,)] * 3, "c string")
+    right = spark.createDataFrame([("a",), ("a",), ("b",), ("b",), ("b",), (None,), ("z",)], "c string")
+    for copies in (4, 1000):
+        got = sorted(bag_difference(left, right, copies).collect(), key=repr)
+        assert got == sorted(left.exceptAll(right).collect(), key=repr) and len(got) == 25
+
+
 def test_records_and_categories(spark):
     df = readers.records_to_table(spark, [{"a": 1, "b": "x"}, {"a": None}], "a int, b string")
     assert [tuple(r) for r in df.collect()] == [(1, "x"), (None, None)]
