@@ -32,9 +32,8 @@ def null_counts(df: DataFrame) -> DataFrame:
     """Nulls per column, and whether the table has any at all; one pass."""
     wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
     anywhere = F.exists(F.array(*df.columns), lambda n: n > 0)
-    return wide.withColumn("any_null_in_table", anywhere).unpivot(
-        ["any_null_in_table"], df.columns, "column", "nulls"
-    )
+    long = wide.withColumn("any_null_in_table", anywhere).unpivot(["any_null_in_table"], df.columns, "column", "nulls")
+    return long.select("column", "nulls", "any_null_in_table")
 
 
 def non_null_counts(df: DataFrame) -> DataFrame:
