@@ -1,10 +1,10 @@
-"""Array and matrix expressions; each works inside one row."""
+"""Array expressions; each works inside one row."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -58,19 +58,3 @@ def zip_rows(a: Column, b: Column) -> Column:
     """Pairs by position; the shorter array must not be padded, so lengths must agree."""
     unequal = F.raise_error(F.lit("arrays of different length"))
     return F.when(F.size(a) == F.size(b), F.arrays_zip(a, b)).otherwise(unequal)
-
-
-def matrix_cells(df: DataFrame, row: str, values: str) -> DataFrame:
-    """An array per row as (i, j, v) cells."""
-    return df.select(F.col(row).alias("i"), F.posexplode(values).alias("j", "v"))
-
-
-def matrix_product(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Product of two matrices given as (i, j, v) cells.
-
-    Both sides meet on the inner index; partial sums are folded in the map
-    tasks before the (i, j) shuffle.
-    """
-    a = left.select("i", F.col("j").alias("k"), F.col("v").alias("a"))
-    b = right.select(F.col("i").alias("k"), "j", F.col("v").alias("b"))
-    return a.join(b, "k").groupBy("i", "j").agg(F.sum(F.col("a") * F.col("b")).alias("v"))

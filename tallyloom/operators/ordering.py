@@ -103,10 +103,16 @@ def with_predecessors(
     row's ``before`` predecessors, because the last rows of a chunk are also
     sent, marked ``_copy``, to the next one. Drop the copies after the window.
     """
-    if largest_group(df, partition) <= window_rows:
-        return df.withColumn("_chunk", F.lit(0).cast("long")).withColumn("_copy", F.lit(False))
     if before >= window_rows:
         raise ValueError("a chunk must be longer than the frame")
+    if largest_group(df, partition) <= window_rows:
+        return df.withColumn("_chunk", F.lit(0).cast("long")).withColumn("_copy", F.lit(False))
+    return _cut(df, partition, order, before, window_rows)
+
+
+def _cut(
+    df: DataFrame, partition: Sequence[str], order: Sequence[Column], before: int, window_rows: int
+) -> DataFrame:
     indexed = row_index(df, order, "_index", partition, window_rows)
     chunk = F.floor(F.col("_index") / window_rows)
     own = F.struct(chunk.alias("chunk"), F.lit(False).alias("copy"))
@@ -169,23 +175,36 @@ def lap_times(
     tie_break: str,
     window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
-    """Seconds since the previous event and since the first one of the group."""
+    """Seconds since the previous event and since the first one of the group.
+
+    Rows without a key belong to no group and are left out.
+    """
+    df = df.na.drop(how="any", subset=list(partition))
     order = [F.col(ts).asc(), F.col(tie_break).asc()]
-    chunks = with_predecessors(df, partition, order, 1, window_rows)
-    # one row per chunk, so the starting time spreads without joining on a hot group
-    starts = (
-        chunks.groupBy(*partition, "_chunk")
-        .agg(F.min(ts).alias("_start"))
-        .withColumn("_start", F.min("_start").over(Window.partitionBy(*partition)))
-    )
-    w = Window.partitionBy(*partition, "_chunk").orderBy(*order)
+    if largest_group(df, partition) <= window_rows:
+        w = Window.partitionBy(*partition).orderBy(*order)
+        timed = df.withColumn("_previous", F.lag(ts).over(w)).withColumn("_start", F.min(ts).over(w))
+    else:
+        chunks = _cut(df, partition, order, 1, window_rows)
+        # one row per chunk, so the starting time spreads without joining on a hot group
+        starts = (
+            chunks.groupBy(*partition, "_chunk")
+            .agg(F.min(ts).alias("_start"))
+            .withColumn("_start", F.min("_start").over(Window.partitionBy(*partition)))
+        )
+        w = Window.partitionBy(*partition, "_chunk").orderBy(*order)
+        timed = (
+            chunks.withColumn("_previous", F.lag(ts).over(w))
+            .filter(~F.col("_copy"))
+            .join(starts, [*partition, "_chunk"], "inner")
+            .drop("_chunk", "_copy")
+        )
+    since_last = seconds_between(F.coalesce("_previous", ts), F.col(ts))
+    since_start = seconds_between(F.col("_start"), F.col(ts))
     return (
-        chunks.withColumn("_previous", F.lag(ts).over(w))
-        .filter(~F.col("_copy"))
-        .join(starts, [*partition, "_chunk"], "inner")
-        .withColumn("lap_seconds", F.round(seconds_between(F.coalesce("_previous", ts), F.col(ts)), 2))
-        .withColumn("total_seconds", F.round(seconds_between(F.col("_start"), F.col(ts)), 2))
-        .drop("_chunk", "_copy", "_previous", "_start")
+        timed.withColumn("lap_seconds", F.round(since_last, 2))
+        .withColumn("total_seconds", F.round(since_start, 2))
+        .drop("_previous", "_start")
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.ordering import group_extent, largest_group, running_total
+from tallyloom.operators.ordering import group_extent, running_total
 
 # The most values of one group that one aggregation buffer is given.
 BUFFER_ROWS = 1_000_000
@@ -32,7 +32,8 @@ def quantiles(
     """
     keys = list(keys)
     present = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    if largest_group(present, keys) <= window_rows:
+    biggest, groups = group_extent(present, keys)
+    if biggest <= window_rows:
         found = present.groupBy(*keys).agg(
             F.percentile("_v", F.array(*[F.lit(float(p)) for p in probabilities])).alias("_q")
         )
@@ -41,7 +42,7 @@ def quantiles(
     tallies = present.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
     ranked = running_total(tallies, keys, [F.col("_v").asc()], F.col("_n"), "_upto", window_rows)
     sizes = ranked.groupBy(*keys).agg(F.max("_upto").alias("_size"))
-    sized = _attach(ranked, sizes, keys)
+    sized = _attach(ranked, F.broadcast(sizes) if groups <= BROADCAST_GROUPS else sizes, keys)
 
     def at(rank: Column) -> Column:
         # values ascend with _upto, so the value at a rank is the first one past it

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallyloom.functions import arrays, maps, randomness
+from tallyloom.operators import matrix
 from tallyloom.plans.registry import Tables, query
 
 
@@ -110,13 +111,13 @@ def indexed(t: Tables):
 )
 def vectors_by_class_means(t: Tables):
     vectors = t.embeddings.select("vec_id", "label", _doubles().alias("e"))
-    left = arrays.matrix_cells(vectors, "vec_id", "e")
+    left = matrix.matrix_cells(vectors, "vec_id", "e")
     means = (
         vectors.select("label", F.posexplode("e").alias("i", "x"))
         .groupBy("i", F.col("label").alias("j"))
         .agg(F.round(F.avg("x"), 9).alias("v"))
     )
-    return arrays.matrix_product(left, means).select("i", "j", F.round("v", 6).alias("v"))
+    return matrix.matrix_product(left, means).select("i", "j", F.round("v", 6).alias("v"))
 
 
 @query(

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions import arrays, maps, randomness, text
-from tallyloom.operators import aggregates, apply, clean, filters, joins, profile, reshape
+from tallyloom.operators import aggregates, apply, clean, filters, joins, matrix, profile, reshape
 from tallyloom.operators.sets import bag_difference
 from tallyloom.sources import readers
 
@@ -239,8 +239,9 @@ def test_matrix_product(spark):
     def cells(m):
         return spark.createDataFrame([(i, j, float(m[i, j])) for i in range(m.shape[0]) for j in range(m.shape[1])], "i int, j int, v double")
 
-    got = {(r["i"], r["j"]): r["v"] for r in arrays.matrix_product(cells(a), cells(b)).collect()}
-    assert got == {(i, j): (a @ b)[i, j] for i in range(4) for j in range(3)}
+    for limit in (0, 100):
+        got = {(r["i"], r["j"]): r["v"] for r in matrix.matrix_product(cells(a), cells(b), limit).collect()}
+        assert got == {(i, j): (a @ b)[i, j] for i in range(4) for j in range(3)}
 
 
 def test_map_merge_and_default(spark):
