@@ -204,7 +204,7 @@ def lap_times(
     return (
         timed.withColumn("lap_seconds", F.round(since_last, 2))
         .withColumn("total_seconds", F.round(since_start, 2))
-        .drop("_previous", "_start")
+        .select(*df.columns, "lap_seconds", "total_seconds")
     )
 
 

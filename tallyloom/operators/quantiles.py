@@ -8,10 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.ordering import group_extent, running_total
+from tallyloom.session import materialize
 
 # The most values of one group that one aggregation buffer is given.
 BUFFER_ROWS = 1_000_000
 
+# One over the rank error of the sketches, as a part of the group.
+ACCURACY = 10_000
+
 # Up to this many groups, one row per group is sent to every task.
 BROADCAST_GROUPS = 100_000
 
@@ -23,12 +27,15 @@ def quantiles(
     probabilities: Sequence[float],
     names: Sequence[str],
     window_rows: int = BUFFER_ROWS,
+    broadcast_groups: int = BROADCAST_GROUPS,
 ) -> DataFrame:
     """One row per group with linearly interpolated quantiles of the non-null values.
 
     The built-in ``percentile`` keeps every distinct value of a group in one
-    buffer. Past ``window_rows`` the values are counted first, which folds
-    repeats, and then ranked with a running total spread over many tasks.
+    buffer, so it serves small groups only. Big groups, if they are few, are
+    narrowed down: a sketch brackets each quantile, and only the values between
+    the brackets are shuffled and ranked. Many groups of which some are big are
+    ranked as a whole. All three give the same, exact answer.
     """
     keys = list(keys)
     present = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
@@ -38,21 +45,72 @@ def quantiles(
             F.percentile("_v", F.array(*[F.lit(float(p)) for p in probabilities])).alias("_q")
         )
         return found.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    if groups <= broadcast_groups:
+        ranked, sizes = _bracketed(present, keys, probabilities, window_rows)
+    else:
+        tallies = present.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
+        ranked = running_total(tallies, keys, [F.col("_v").asc()], F.col("_n"), "_upto", window_rows)
+        # every probability looks at every value
+        ranked = ranked.withColumn("_for", F.lit(None).cast("int"))
+        sizes = ranked.groupBy(*keys).agg(F.max("_upto").alias("_size"))
+    return _pick(_with_group(ranked, sizes, keys), keys, probabilities, names)
+
+
+def _bracketed(
+    present: DataFrame, keys: list[str], probabilities: Sequence[float], window_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """The values near each quantile with their ranks, and the size of each group."""
+    bounds = []
+    for p in probabilities:
+        # the sketch is off by at most one ACCURACY-th of the rows on either side
+        bounds += [max(p - 3 / ACCURACY, 0.0), min(p + 3 / ACCURACY, 1.0)]
+    sketch = present.groupBy(*keys).agg(
+        F.percentile_approx("_v", F.array(*[F.lit(float(b)) for b in bounds]), ACCURACY).alias("_b"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
+        F.count("*").alias("_size"),
+    )
+    # of a short group the sketch's error is less than a row, so all of it is kept
+    short = F.col("_size") < 2 * ACCURACY
+    lows, highs = [], []
+    for i in range(len(probabilities)):
+        all_below, all_above = short | F.lit(bounds[2 * i] == 0.0), short | F.lit(bounds[2 * i + 1] == 1.0)
+        lows.append(F.when(all_below, F.col("_min")).otherwise(F.col("_b")[2 * i]))
+        highs.append(F.when(all_above, F.col("_max")).otherwise(F.col("_b")[2 * i + 1]))
+    brackets = materialize(
+        sketch.select(*keys, "_size", F.array(*lows).alias("_low"), F.array(*highs).alias("_high")), "brackets"
+    )
+    placed = _with_group(present, F.broadcast(brackets), keys)
+    spots = range(len(probabilities))
+    below = placed.groupBy(*keys).agg(
+        F.array(*[F.count_if(F.col("_v") < F.col("_low")[i]) for i in spots]).alias("_below")
+    )
+    inside = [F.when(F.col("_v").between(F.col("_low")[i], F.col("_high")[i]), F.lit(i)) for i in spots]
+    near = placed.select(*keys, "_v", F.explode(F.array_compact(F.array(*inside))).alias("_for"))
+    tallies = materialize(near.groupBy(*keys, "_for", "_v").agg(F.count("*").alias("_n")), "near-quantiles")
+    ranked = running_total(tallies, [*keys, "_for"], [F.col("_v").asc()], F.col("_n"), "_upto", window_rows)
+    ranked = _with_group(ranked, F.broadcast(below), keys)
+    ranked = ranked.withColumn("_upto", F.col("_upto") + F.get("_below", F.col("_for"))).drop("_below")
+    return ranked, F.broadcast(brackets.select(*keys, "_size"))
 
-    tallies = present.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
-    ranked = running_total(tallies, keys, [F.col("_v").asc()], F.col("_n"), "_upto", window_rows)
-    sizes = ranked.groupBy(*keys).agg(F.max("_upto").alias("_size"))
-    sized = _attach(ranked, F.broadcast(sizes) if groups <= BROADCAST_GROUPS else sizes, keys)
 
-    def at(rank: Column) -> Column:
+def _pick(
+    ranked: DataFrame, keys: list[str], probabilities: Sequence[float], names: Sequence[str]
+) -> DataFrame:
+    missed = F.raise_error(F.lit("a sketch missed its quantile")).cast("double")
+
+    def at(i: int, rank: Column) -> Column:
         # values ascend with _upto, so the value at a rank is the first one past it
-        return F.min(F.when(F.col("_upto") > rank, F.col("_v")))
+        mine = F.coalesce(F.col("_for") == i, F.lit(True))
+        found = F.min(F.when(mine & (F.col("_upto") > rank), F.col("_v")))
+        first_rank = F.min(F.when(mine, F.col("_upto") - F.col("_n")))
+        return F.when((first_rank > F.max(rank)) | found.isNull(), missed).otherwise(found)
 
     places = [(F.col("_size") - 1) * F.lit(float(p)) for p in probabilities]
-    picked = sized.groupBy(*keys).agg(
+    picked = ranked.groupBy(*keys).agg(
         F.max("_size").alias("_size"),
-        *[at(F.floor(h)).alias(f"_lo{i}") for i, h in enumerate(places)],
-        *[at(F.ceil(h)).alias(f"_hi{i}") for i, h in enumerate(places)],
+        *[at(i, F.floor(h)).alias(f"_lo{i}") for i, h in enumerate(places)],
+        *[at(i, F.ceil(h)).alias(f"_hi{i}") for i, h in enumerate(places)],
     )
     result = []
     for i, (h, name) in enumerate(zip(places, names)):
@@ -62,15 +120,15 @@ def quantiles(
     return picked.select(*keys, *result)
 
 
-def _attach(ranked: DataFrame, sizes: DataFrame, keys: list[str]) -> DataFrame:
+def _with_group(rows: DataFrame, per_group: DataFrame, keys: list[str]) -> DataFrame:
+    """Add the columns of a table with one row per group; null keys match each other."""
     if not keys:
-        return ranked.withColumn("_size", sizes.scalar())
-    renamed = sizes
-    same = F.lit(True)
+        return rows.withColumn("_k", F.lit(0)).join(per_group.withColumn("_k", F.lit(0)), "_k").drop("_k")
+    renamed, same = per_group, F.lit(True)
     for k in keys:
         renamed = renamed.withColumnRenamed(k, f"_k_{k}")
         same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return ranked.join(renamed, same, "inner").drop(*[f"_k_{k}" for k in keys])
+    return rows.join(renamed, same, "inner").drop(*[f"_k_{k}" for k in keys])
 
 
 def describe(df: DataFrame, columns: Sequence[str], window_rows: int = BUFFER_ROWS) -> DataFrame:

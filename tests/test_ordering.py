@@ -85,21 +85,36 @@ def test_unequal_batches_are_an_error(skewed):
         ordering.equal_batches(skewed, [F.asc("ord")], 3).collect()
 
 
-@pytest.mark.parametrize("window_rows", [SMALL, 10_000])
-def test_quantiles_against_pandas(skewed, window_rows):
-    rows = skewed.filter("key is not null")
-    got = quantiles.quantiles(rows, ["key"], "v", [0.0, 0.25, 0.5, 0.9, 1.0], list("abcde"), window_rows).toPandas()
-    want = rows.toPandas().groupby("key")["v"].quantile([0.0, 0.25, 0.5, 0.9, 1.0]).unstack()
-    got = got.set_index("key").loc[want.index]
-    assert (abs(got.to_numpy() - want.to_numpy()) < 1e-9).all()
+PATHS = [(10_000, 100), (SMALL, 100), (SMALL, 0)]  # built-in, bracketed, ranked as a whole
 
 
-@pytest.mark.parametrize("window_rows", [SMALL, 10_000])
-def test_quantile_without_key(skewed, window_rows):
-    got = quantiles.quantiles(skewed, [], "v", [0.5], ["m"], window_rows).collect()
+@pytest.mark.parametrize("window_rows,groups", PATHS)
+def test_quantiles_against_pandas(skewed, window_rows, groups):
+    probabilities = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = quantiles.quantiles(skewed, ["key"], "v", probabilities, list("abcde"), window_rows, groups).toPandas()
+    want = skewed.toPandas().fillna({"key": "none"}).groupby("key")["v"].quantile(probabilities).unstack()
+    got = got.fillna({"key": "none"}).set_index("key").loc[want.index]
+    assert len(got) == len(want) and (abs(got.to_numpy() - want.to_numpy()) < 1e-9).all()
+
+
+@pytest.mark.parametrize("window_rows,groups", PATHS)
+def test_quantile_without_key(skewed, window_rows, groups):
+    got = quantiles.quantiles(skewed, [], "v", [0.5], ["m"], window_rows, groups).collect()
     assert [r["m"] for r in got] == [skewed.toPandas()["v"].median()]
 
 
+@pytest.mark.parametrize("groups", [0, 100])
+def test_quantiles_where_one_value_fills_half_the_group(spark, groups):
+    df = spark.range(60_000).select(
+        F.lit("k").alias("key"),
+        F.when(F.col("id") % 2 == 0, 7.0).otherwise((F.col("id") * 7919 % 60_000).cast("double")).alias("v"),
+    )
+    probabilities = [0.0001, 0.1, 0.3, 0.5, 0.77, 0.99999]
+    got = quantiles.quantiles(df, ["key"], "v", probabilities, list("abcdef"), 1000, groups).first()[1:]
+    want = df.toPandas()["v"].quantile(probabilities).to_list()
+    assert got == pytest.approx(want)
+
+
 @pytest.mark.parametrize("window_rows", [SMALL, 10_000])
 def test_describe_against_pandas(skewed, window_rows):
     got = quantiles.describe(skewed, ["v", "ord"], window_rows).toPandas().set_index("column")
