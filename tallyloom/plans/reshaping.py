@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tallyloom.functions import arrays
 from tallyloom.operators import reshape
 from tallyloom.plans.registry import Tables, query
 
@@ -92,11 +93,11 @@ def unstacked(t: Tables):
         + ", ".join(f"{f} FILTER (o_orderpriority = '{p}') AS \"{p}\"" for p in _PRIORITIES)
         + " FROM orders"
         for name, f in (
-            ("n", "CAST(count(*) AS DOUBLE)"),
+            ("n", "count(*)"),
             ("lowest", "min(o_totalprice)"),
             ("highest", "max(o_totalprice)"),
         )
-    ).replace("CAST(count(*) AS DOUBLE) FILTER", "count(*) FILTER"),
+    ),
 )
 def transposed(t: Tables):
     by_priority = t.orders.groupBy("o_orderpriority").agg(
@@ -131,10 +132,8 @@ def flattened(t: Tables):
          AS row_sum FROM embeddings, range(0, 8) AS t(r)""",
 )
 def reshaped(t: Tables):
-    from tallyloom.functions.arrays import reshape as to_rows
-
     doubles = F.transform("embedding", lambda x: x.cast("double"))
-    rows = t.embeddings.select("vec_id", F.posexplode(to_rows(doubles, 8, 8)).alias("row", "_v"))
+    rows = t.embeddings.select("vec_id", F.posexplode(arrays.reshape(doubles, 8, 8)).alias("row", "_v"))
     row_sum = F.aggregate("_v", F.lit(0.0), lambda a, x: a + x)
     return rows.select("vec_id", F.col("row").cast("bigint").alias("row"), F.round(row_sum, 8).alias("row_sum"))
 
