@@ -202,8 +202,9 @@ def bases(t: Tables):
 
 @query(
     "str_unescape",
-    """SELECT page_id, md5(replace(replace(replace(replace(html, '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;', '&'))
-          AS digest FROM pages""",
+    # the entities that occur in the pages; the old ones also count without their semicolon
+    """SELECT page_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+              html, '&middot;?', '·', 'g'), '&copy;?', '©', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g')) AS digest FROM pages""",
 )
 def unescaped(t: Tables):
     return t.pages.select("page_id", F.md5(text.unescape("html").cast("binary")).alias("digest"))
