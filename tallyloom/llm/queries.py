@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe_codec, token_counts, token_output, vector_packing
-from tallyloom.llm.common import read_table, text_or_empty
+from tallyloom.llm import bpe_codec, host_rules, line_dedup, sql, token_counts, token_output, url_templates, vector_packing
+from tallyloom.llm.common import materialize, read_table, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -41,6 +41,24 @@ def op1_token_counts(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@query("op2_url_templates", sql.url_sql())
+def op2_url_templates(spark: SparkSession, root: str) -> DataFrame:
+    pages = read_table(spark, root, "pages").select("page_id", "url")
+    return url_templates.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op3_host_rules", sql.quality_sql())
+def op3_host_rules(spark: SparkSession, root: str) -> DataFrame:
+    docs = read_table(spark, root, "documents").select("doc_id", "text", "source")
+    # counted once and written without texts: hosts are summed from it, and verdicts joined to it
+    counted = materialize(host_rules.with_counts(docs).drop("text"), "counts")
+    rules = host_rules.production_rules()
+    rates = host_rules.host_rates(counted, "source", rules)
+    rejected = materialize(host_rules.rejected_hosts(rates, rules), "rejected-hosts")
+    judged = host_rules.judge(counted, "source", rejected)
+    return judged.select("doc_id", *host_rules.COUNTS, "base_failed", "kept")
+
+
 @query("op4_byte_bpe_codec")
 def op4_byte_bpe_codec(spark: SparkSession, root: str) -> DataFrame:
     docs = read_table(spark, root, "documents").select("doc_id", "text")
@@ -55,6 +73,13 @@ def op4_byte_bpe_codec(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@query("op7_line_dedup", sql.line_dedup_sql())
+def op7_line_dedup(spark: SparkSession, root: str) -> DataFrame:
+    docs = read_table(spark, root, "documents").select("doc_id", "text")
+    cut = line_dedup.drop_repeated_lines(docs)
+    return cut.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query("op8_packed_ids")
 def op8_packed_ids(spark: SparkSession, root: str) -> DataFrame:
     docs = read_table(spark, root, "documents")
