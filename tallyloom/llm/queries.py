@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe_codec, host_rules, line_dedup, sql, token_counts, token_output, url_templates, vector_packing
+from tallyloom.llm import bpe_codec, graph_search, host_rules, line_dedup, sql, token_counts, token_output, url_templates, vector_packing
 from tallyloom.llm.common import materialize, read_table, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,10 @@ def op9_vector_best_fit(spark: SparkSession, root: str) -> DataFrame:
     return vector_packing.pack_documents(
         docs, public_tokenizers.path(JSON_TOKENIZER), public_tokenizers.PATTERN, end_id=END_ID
     )
+
+
+@query("op10_graph_search")
+def op10_graph_search(spark: SparkSession, root: str) -> DataFrame:
+    vectors = read_table(spark, root, "embeddings").select("vec_id", "embedding")
+    asked = vectors.filter(F.col("vec_id") % 50 == 0)
+    return graph_search.nearest(vectors, asked, "vec_id", "embedding", k=5)
