@@ -22,6 +22,8 @@ empty one.
 
 from __future__ import annotations
 
+import json
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,18 +37,17 @@ from tallyloom.llm.common import materialize, shared_bytes, text_or_empty
 #: Characters after a pre-token that can decide where it ends.
 _LOOK_AHEAD = 2
 #: Texts encoded by one call, which bounds the encodings held at a time.
-_AT_ONCE = 64
+_AT_ONCE = 16
 
 
 @lru_cache(maxsize=2)
 def tokenizer(content: bytes) -> Tokenizer:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism; each thread would keep memory of its own
     return Tokenizer.from_str(content.decode())
 
 
 def _check_splicing(content: bytes) -> int:
     """The characters at a chunk's right end that prove nothing; raises where splices can't be proven."""
-    import json
-
     spec = json.loads(content)
     cut = spec.get("pre_tokenizer") or {}
     if spec.get("normalizer") or cut.get("type") != "ByteLevel" or not cut.get("use_regex", True) or cut["add_prefix_space"]:
