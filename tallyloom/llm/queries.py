@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe_codec, graph_search, host_rules, line_dedup, sql, substring_dedup, token_counts, token_output, url_templates, vector_packing
+from tallyloom.llm import bpe_codec, graph_search, host_rules, line_dedup, ngram_join, sql, substring_dedup, token_counts, token_output, url_templates, vector_packing
 from tallyloom.llm.common import materialize, read_table, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,12 @@ def op4_byte_bpe_codec(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@query("op5_ngram_join")
+def op5_ngram_join(spark: SparkSession, root: str) -> DataFrame:
+    docs = read_table(spark, root, "documents").select("doc_id", "text")
+    return ngram_join.join_similar(docs).select("doc_id", "class_id", "n_links", "n_copies")
+
+
 @query("op6_substring_dedup")
 def op6_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     docs = read_table(spark, root, "documents").select("doc_id", "text")
