@@ -20,12 +20,13 @@ words.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import NOT_WORD, materialize, words_of
+from tallyloom.llm.common import NOT_WORD, WORD, materialize, words_of
 
 SYMBOLS = r"[#*$%&|<>]"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -52,45 +53,47 @@ def production_rules() -> list[Rule]:
     ]
 
 
-def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the columns of ``COUNTS``."""
-    whole = F.coalesce(F.col(text), F.lit(""))
-    worded = docs.drop(*COUNTS).withColumn("_words", words_of(F.col(text)))
-    n = F.size("_words")
-    at = lambda i: F.get("_words", i)
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, evaluated once wherever the optimiser moves the expression."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _repeated_words(words: Column) -> Column:
+    """Words in windows of three that occur more than once."""
+    n = F.size(words)
     windows = F.when(
         n >= 3,
         F.transform(
             F.sequence(F.lit(0), n - 3),
-            lambda i: F.struct(F.xxhash64(at(i), at(i + 1), at(i + 2)).alias("h"), i.alias("i")),
+            lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i")),
         ),
     )
-    sorted_windows = worded.withColumn("_windows", F.sort_array(windows))
-    hash_at = lambda i: F.get("_windows", i)["h"]
-    twice = F.filter(
-        "_windows",
-        lambda w, k: F.coalesce(hash_at(k - 1) == w["h"], F.lit(False)) | F.coalesce(hash_at(k + 1) == w["h"], F.lit(False)),
-    )
-    repeated = sorted_windows.withColumn("_at", F.sort_array(F.transform(twice, lambda w: w["i"])))
-    # a window covers three words, or fewer where the next one begins earlier
-    covered = F.aggregate(
-        F.transform("_at", lambda p, k: F.least(F.lit(3), F.coalesce(F.get("_at", k + 1) - p, F.lit(3)))),
-        F.lit(0).cast("long"),
-        lambda total, x: total + x,
-    )
+
+    def places(ordered: Column) -> Column:
+        same = lambda w, k: F.coalesce(F.get(ordered, k)["h"] == w["h"], F.lit(False))
+        twice = F.filter(ordered, lambda w, k: same(w, k - 1) | same(w, k + 1))
+        return F.sort_array(F.transform(twice, lambda w: w["i"]))
+
+    def covered(at: Column) -> Column:
+        # a window covers three words, or fewer where the next one begins earlier
+        own = F.transform(at, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(at, k + 1) - p, F.lit(3))))
+        return F.aggregate(own, F.lit(0).cast("long"), lambda total, x: total + x)
+
+    return F.coalesce(_let(_let(F.sort_array(windows), places), covered), F.lit(0).cast("long"))
+
+
+def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with the columns of ``COUNTS``."""
+    whole = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(whole, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    return (
-        repeated.withColumn("_lines", lines)
-        .withColumns(
-            {
-                "n_words": n.cast("long"),
-                "word_chars": F.char_length(F.regexp_replace(whole, NOT_WORD, "")).cast("long"),
-                "n_symbols": F.regexp_count(whole, F.lit(SYMBOLS)).cast("long"),
-                "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-                "n_repeat_words": F.coalesce(covered, F.lit(0).cast("long")),
-            }
-        )
-        .drop("_words", "_windows", "_at", "_lines")
+    return docs.withColumns(
+        {
+            "n_words": F.regexp_count(whole, F.lit(WORD)).cast("long"),
+            "word_chars": F.char_length(F.regexp_replace(whole, NOT_WORD, "")).cast("long"),
+            "n_symbols": F.regexp_count(whole, F.lit(SYMBOLS)).cast("long"),
+            "n_dup_lines": _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
+            "n_repeat_words": _let(words_of(F.col(text)), _repeated_words),
+        }
     )
 
 

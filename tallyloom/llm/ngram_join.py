@@ -238,3 +238,14 @@ def join_similar(
         F.lit(1).cast("long").alias("n_copies"), F.lit(True).alias("is_first"),
     )
     return found.unionByName(alone).withColumnRenamed("id", id_column)
+
+
+def keep_first(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """``docs`` with one row of each class, that with the smallest id; rows with a null id stay."""
+    found = join_similar(docs, id_column, text, **settings)
+    firsts = found.filter(F.col("is_first") & F.col(id_column).isNotNull()).select(
+        F.col(id_column).alias("_id"), F.col("text_hash").alias("_hash")
+    )
+    keyed = docs.withColumn("_id", F.col(f"`{id_column}`").cast("long")).withColumn("_hash", F.xxhash64(f"`{text}`"))
+    kept = keyed.filter(F.col("_id").isNotNull()).join(firsts, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"])
+    return kept.select(*docs.columns).unionByName(docs.filter(F.col(id_column).isNull()))
