@@ -17,10 +17,11 @@ import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tallyloom.llm.byte_level import BYTE_ALPHABET, ByteLevelEncoder, pack_ids, to_byte_alphabet
 from tallyloom.llm.common import shared_bytes
@@ -33,6 +34,9 @@ _MODEL_TYPE, _VOCAB_SIZE, _BPE = 3, 4, 2
 _UNK_ID, _BOS_ID, _EOS_ID, _PAD_ID = 40, 41, 42, 43
 _NAME, _ADD_DUMMY_PREFIX, _REMOVE_EXTRA_WHITESPACES, _ESCAPE_WHITESPACES = 1, 3, 4, 5
 
+#: Rows whose results are held at a time.
+_SLICE = 256
+
 
 def read_ranks(content: bytes) -> dict[bytes, int]:
     """Token bytes and rank of each line of a rank file."""
@@ -108,6 +112,13 @@ class Codec:
 
         self.encode = ByteLevelEncoder(pattern, encode)
 
+        #: What makes the named columns of a value.
+        self.table = {
+            ("ids",): lambda text: (self.encode(text or ""),),
+            ("decoded",): lambda packed: (self.decode(packed or b""),),
+            ("ids", "decoded"): lambda text: (ids := self.encode(text or ""), self.decode(ids)),
+        }
+
     def decode(self, packed: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, memoryview(packed).cast("I")))
 
@@ -117,27 +128,38 @@ def codec(rank_file: bytes, pattern: str) -> Codec:
     return Codec(rank_file, pattern)
 
 
-def encode_column(spark: SparkSession, text: Column, rank_path: str, pattern: str) -> Column:
-    """The ids of each text as packed little-endian unsigned 32-bit integers."""
-    content = shared_bytes(spark, rank_path)
+def _add(df: DataFrame, column: str, outputs: tuple[str, ...], rank_path: str, pattern: str) -> DataFrame:
+    """``df`` with binary columns ``outputs`` made of ``column``; they replace columns of these names.
+
+    Rows pass in slices, so that no more than a slice's results are held besides the batch.
+    """
+    content = shared_bytes(df.sparkSession, rank_path)
+    others = [c for c in df.columns if c not in outputs]
+    source = df.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{column}`").alias("_from"))
 
-    @F.pandas_udf("binary")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(content.value, pattern)
-        for texts in batches:
-            yield texts.map(own.encode)
+        for batch in batches:
+            for at in range(0, batch.num_rows, _SLICE):
+                some = batch.slice(at, _SLICE)
+                values = [own.table[outputs](v.as_py()) for v in some.column(some.num_columns - 1)]
+                new = [pa.array(c, pa.binary()) for c in zip(*values, strict=True)]
+                yield pa.RecordBatch.from_arrays([*some.columns[:-1], *new], names=[*others, *outputs])
 
-    return encode(F.coalesce(text, F.lit("")))
+    schema = StructType([*source.schema.fields[:-1], *(StructField(c, BinaryType()) for c in outputs)])
+    return source.mapInArrow(add, schema)
 
 
-def decode_column(spark: SparkSession, ids: Column, rank_path: str, pattern: str) -> Column:
-    """The bytes that packed ids stand for; null ids decode to no bytes, unknown ids raise."""
-    content = shared_bytes(spark, rank_path)
+def encode(df: DataFrame, text: str, rank_path: str, pattern: str) -> DataFrame:
+    """``df`` with ``ids``: those of each text as packed little-endian unsigned 32-bit integers."""
+    return _add(df, text, ("ids",), rank_path, pattern)
+
+
+def decode(df: DataFrame, ids: str, rank_path: str, pattern: str) -> DataFrame:
+    """``df`` with ``decoded``: the bytes that packed ids stand for; null ids give none, unknown ones raise."""
+    return _add(df, ids, ("decoded",), rank_path, pattern)
 
-    @F.pandas_udf("binary")
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = codec(content.value, pattern)
-        for packed in batches:
-            yield packed.map(own.decode)
 
-    return decode(F.coalesce(ids, F.lit(b"")))
+def round_trip(df: DataFrame, text: str, rank_path: str, pattern: str) -> DataFrame:
+    """``df`` with ``ids`` and, decoded from them in the same pass, ``decoded``."""
+    return _add(df, text, ("ids", "decoded"), rank_path, pattern)

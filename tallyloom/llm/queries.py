@@ -63,9 +63,7 @@ def op3_host_rules(spark: SparkSession, root: str) -> DataFrame:
 def op4_byte_bpe_codec(spark: SparkSession, root: str) -> DataFrame:
     docs = read_table(spark, root, "documents").select("doc_id", "text")
     path, pattern = public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN
-    encoded = docs.select("doc_id", bpe_codec.encode_column(spark, F.col("text"), path, pattern).alias("ids"))
-    decoded = encoded.withColumn("decoded", bpe_codec.decode_column(spark, F.col("ids"), path, pattern))
-    return decoded.select(
+    return bpe_codec.round_trip(docs, "text", path, pattern).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
