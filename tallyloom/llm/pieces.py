@@ -21,7 +21,7 @@ from tallyloom.llm.common import materialize, shared_bytes, text_or_empty
 _ROWS_AT_ONCE = 512
 
 _SCHEMA = (
-    "doc_id long, piece int, start long, length int, ids_crc32 long, part int, no_in_part long, ids binary"
+    "doc_id long, piece int, start long, length int, ids_crc32 long, part int, no_in_part long"
 )
 
 
@@ -64,16 +64,16 @@ def cut_points(n: int, capacity: int) -> list[int]:
 
 
 def token_pieces(
-    docs: DataFrame, id_column: str, text: str, tokenizer_path: str, pattern: str, end_id: int, capacity: int, keep_ids: bool
+    docs: DataFrame, id_column: str, text: str, tokenizer_path: str, pattern: str, end_id: int, capacity: int
 ) -> DataFrame:
-    """A written table with a row per piece; ``ids`` are packed little-endian unsigned 32-bit integers.
+    """A written table with a row per piece; ``ids_crc32`` is that of its packed ids.
 
     A null text is empty and so has the end token alone.
     """
     content = shared_bytes(docs.sparkSession, tokenizer_path)
     end = pack_ids([end_id])
     names = [c.split()[0] for c in _SCHEMA.split(", ")]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()]
     arrow = pa.schema(list(zip(names, kinds, strict=True)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +85,7 @@ def token_pieces(
                 starts = cut_points(n, capacity)
                 for k, (a, b) in enumerate(zip(starts, [*starts[1:], n], strict=True)):
                     own_ids = ids[4 * a : 4 * b]
-                    rows.append((doc, k, a, b - a, zlib.crc32(own_ids), part, seen[b - a], own_ids if keep_ids else None))
+                    rows.append((doc, k, a, b - a, zlib.crc32(own_ids), part, seen[b - a]))
                     seen[b - a] += 1
                 if len(rows) >= _ROWS_AT_ONCE:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], schema=arrow)

@@ -6,6 +6,10 @@ still has room. Sequences are kept by the room they have left; a segment tree
 over the rooms 0..capacity answers "the smallest room of at least n" in
 logarithmic time. Equal sequences are one entry with a count.
 
+A task packs blocks of ``block_pieces`` pieces as they come, so its memory is
+bounded and nothing is shuffled; a block of thousands of sequences ends with a
+few that are not full.
+
 The output has a row per sequence: the ids as one row of a matrix (little-endian
 unsigned 32-bit, padded to the capacity), the cumulative segment lengths from 0
 to the number of tokens, and the positions, which begin at 0 again with each
@@ -17,11 +21,18 @@ packed one by one; an empty table gives an empty one; extra columns are not read
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.pieces import token_pieces
-from tallyloom.llm.slots import BinGroup, assign, length_counts, number_items
+from tallyloom.llm.byte_level import pack_ids
+from tallyloom.llm.common import shared_bytes, text_or_empty
+from tallyloom.llm.pieces import cut_points, id_encoder
+from tallyloom.llm.slots import BinGroup
 
 
 class RoomTree:
@@ -92,6 +103,19 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> list[BinGroup]
     return closed + [g for groups in by_room.values() for g in groups if g.bins]
 
 
+_FIELDS = {
+    "sequence_id": ("long", pa.int64()), "n_tokens": ("int", pa.int32()), "doc_ids": ("array<long>", pa.list_(pa.int64())),
+    "pieces": ("array<int>", pa.list_(pa.int32())), "cu_seqlens": ("array<int>", pa.list_(pa.int32())),
+    "position_ids": ("array<int>", pa.list_(pa.int32())), "input_ids": ("binary", pa.binary()),
+}
+_SCHEMA = ", ".join(f"{c} {kind}" for c, (kind, _) in _FIELDS.items())
+_ARROW = pa.schema([(c, kind) for c, (_, kind) in _FIELDS.items()])
+#: A task's sequences are numbered from its own number times this on.
+_TASK_SHIFT = 33
+#: Sequences handed on together.
+_ROWS_AT_ONCE = 128
+
+
 def packed_sequences(
     docs: DataFrame,
     tokenizer_path: str,
@@ -101,25 +125,64 @@ def packed_sequences(
     end_id: int = 2,
     pad_id: int = 0,
     capacity: int = 1024,
+    block_pieces: int = 16_384,
 ) -> DataFrame:
     """A row per sequence: sequence_id, n_tokens, doc_ids, pieces, cu_seqlens, position_ids, input_ids."""
-    pieces = token_pieces(docs, id_column, text, tokenizer_path, pattern, end_id, capacity, keep_ids=True)
-    groups = best_fit_decreasing(length_counts(pieces), capacity)
-    placed = assign(number_items(pieces), groups, capacity)
-    segment = F.struct("offset", "length", "doc_id", "piece", "ids")
-    rows = placed.groupBy("sequence_id").agg(F.array_sort(F.collect_list(segment)).alias("s"))
-    n = F.aggregate("s.length", F.lit(0), lambda a, x: a + x)
-    padding = F.expr(f"unhex(repeat(hex(reverse(unhex(lpad(hex({int(pad_id)}), 8, '0')))), {int(capacity)}))")
-    ids = F.aggregate("s.ids", F.lit(b"").cast("binary"), lambda a, x: F.concat(a, x))
-    return rows.select(
-        "sequence_id",
-        n.alias("n_tokens"),
-        F.col("s.doc_id").alias("doc_ids"),
-        F.col("s.piece").alias("pieces"),
-        F.concat(F.col("s.offset").cast("array<int>"), F.array(n)).alias("cu_seqlens"),
-        F.flatten(F.transform("s.length", lambda k: F.sequence(F.lit(0), k - 1))).alias("position_ids"),
-        F.substring(F.concat(ids, padding), 1, 4 * capacity).alias("input_ids"),
-    )
+    content = shared_bytes(docs.sparkSession, tokenizer_path)
+    end, pad = pack_ids([end_id]), pack_ids([pad_id])
+
+    def sequences(pieces: list[tuple[int, int, bytes]]) -> Iterator[list[tuple[int, int, bytes]]]:
+        """The pieces (document, number, ids) of each sequence, in order."""
+        by_length: dict[int, list] = {}
+        for p in pieces:
+            by_length.setdefault(len(p[2]) // 4, []).append(p)
+        for group in best_fit_decreasing({n: len(ps) for n, ps in by_length.items()}, capacity):
+            for _ in range(group.bins):
+                yield [by_length[length].pop() for length, per_bin in group.content for _ in range(per_bin)]
+
+    def row(number: int, members: list[tuple[int, int, bytes]]) -> tuple:
+        lengths = [len(ids) // 4 for _, _, ids in members]
+        bounds = np.concatenate([[0], np.cumsum(lengths)])
+        positions = np.arange(bounds[-1]) - np.repeat(bounds[:-1], lengths)
+        ids = b"".join(ids for _, _, ids in members)
+        return (
+            number, int(bounds[-1]), [d for d, _, _ in members], [k for _, k, _ in members],
+            bounds, positions, ids + pad * (capacity - int(bounds[-1])),
+        )
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, number, pieces = id_encoder(content.value, pattern), TaskContext.get().partitionId() << _TASK_SHIFT, []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            nonlocal number
+            rows = []
+            for members in sequences(pieces):
+                rows.append(row(number, members))
+                number += 1
+                if len(rows) == _ROWS_AT_ONCE:
+                    yield _record_batch(rows)
+                    rows.clear()
+            if rows:
+                yield _record_batch(rows)
+            pieces.clear()
+
+        for batch in batches:
+            for doc, whole in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids = own(whole.as_py()) + end
+                starts = [*cut_points(len(ids) // 4, capacity), len(ids) // 4]
+                for k, (a, b) in enumerate(zip(starts, starts[1:], strict=False)):
+                    pieces.append((doc, k, ids[4 * a : 4 * b]))
+                    if len(pieces) == block_pieces:
+                        yield from close()
+        yield from close()
+
+    source = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
+    return source.mapInArrow(pack, _SCHEMA)
+
+
+def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW, strict=True)], schema=_ARROW)
 
 
 def write_packed(sequences: DataFrame, path: str, rows_per_file: int = 100_000) -> None:

@@ -113,7 +113,7 @@ def pack_documents(
     score: str = "norm",
 ) -> DataFrame:
     """A row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = token_pieces(docs, id_column, text, tokenizer_path, pattern, end_id, capacities.tokens, keep_ids=False)
+    pieces = token_pieces(docs, id_column, text, tokenizer_path, pattern, end_id, capacities.tokens)
     groups = vector_best_fit(length_counts(pieces), capacities, weights, score)
     placed = assign(number_items(pieces), groups, capacities.tokens)
     return placed.select("doc_id", "piece", "start", placed["length"].cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
