@@ -100,9 +100,3 @@ def accepted_words(key: Column, table: Mapping[str, Sequence[str]]) -> Column:
 def unescape(texts: pd.Series) -> pd.Series:
     """HTML entities to characters; over two thousand names, so not an expression."""
     return texts.map(html.unescape, na_action="ignore")
-
-
-@F.pandas_udf(T.BooleanType())
-def is_email_twin(texts: pd.Series) -> pd.Series:
-    """The same test as ``is_email`` written as an Arrow function, to cross-check it."""
-    return texts.str.fullmatch(r"[\w.\-]+@[\w.\-]+\.\w+").astype("boolean")

@@ -86,11 +86,14 @@ def keep_first(df: DataFrame, subset: Sequence[str], order: Sequence[Column]) ->
 def histogram(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
     """Equal-width bins from the smallest to the largest value, the last one closed.
 
-    Empty bins are listed with 0; a column with one value fills the last bin.
+    Empty bins are listed with 0. A column with one value has its range widened
+    by a half on both sides.
     """
     v = F.col(value).cast("double")
     present = df.select(v.alias("_v")).filter(F.col("_v").isNotNull())
-    low, high = present.agg(F.min("_v")).scalar(), present.agg(F.max("_v")).scalar()
+    lowest, highest = present.agg(F.min("_v")).scalar(), present.agg(F.max("_v")).scalar()
+    margin = F.when(lowest == highest, 0.5).otherwise(0.0)
+    low, high = lowest - margin, highest + margin
     placed = F.least(F.coalesce(F.width_bucket("_v", low, high, F.lit(bins)), F.lit(bins)), F.lit(bins))
     counts = present.groupBy(placed.cast("int").alias("bin")).agg(F.count("*").alias("n"))
     every = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))

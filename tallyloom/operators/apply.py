@@ -8,10 +8,34 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators.ordering import group_extent
+
 PandasFunction = Callable[[pd.DataFrame], pd.DataFrame]
 
 
+# The most rows of a group that are handed to a function at once.
+GROUP_ROWS = 2_000_000
+
+
 def apply_groups(
+    df: DataFrame, keys: Sequence[str], f: PandasFunction, schema: str, group_rows: int = GROUP_ROWS
+) -> DataFrame:
+    """``f``, which may be any function, once on all rows of each group.
+
+    A group must fit into a task, so one of more than ``group_rows`` rows is an
+    error; see ``reduce_groups`` for functions that can be fed their own answers.
+    """
+
+    def on_group(rows: pd.DataFrame) -> pd.DataFrame:
+        return f(rows)
+
+    extent, _ = group_extent(df, keys)
+    if extent > group_rows:
+        raise ValueError(f"a group has {extent} rows, more than the {group_rows} a function is given at once")
+    return df.groupBy(*keys).applyInPandas(on_group, schema)
+
+
+def reduce_groups(
     df: DataFrame, keys: Sequence[str], f: PandasFunction, schema: str, pieces: int = 64
 ) -> DataFrame:
     """``f`` on the rows of each group, in three rounds that shrink it.

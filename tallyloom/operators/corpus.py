@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.arrays import zip_rows
 from tallyloom.session import materialize
 
 # A side of a join up to this many rows is sent to every task; see ``_small``.
@@ -28,39 +27,45 @@ def trigrams(text: Column) -> Column:
     return F.regexp_extract_all(framed, F.lit("(?=(.[^ ].))"), F.lit(1))
 
 
-def _ranked_profile(counts: DataFrame, owner: str, size: int) -> DataFrame:
-    w = Window.partitionBy(owner).orderBy(F.desc("n"), F.asc("gram"))
-    return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= size).drop("n")
+def language_model(docs: DataFrame, text: str, lang: str) -> DataFrame:
+    """Each trigram with its log share in every language, from all trigrams of the texts with a known ``lang``.
 
-
-def guess_language(docs: DataFrame, doc_id: str, text: str, lang: str, size: int = 300) -> DataFrame:
-    """Language of each text by rank distance of trigram profiles.
-
-    The profiles are learnt from the texts with a known ``lang``. Adds
-    ``guess``, null for a text without letters (Cavnar & Trenkle 1994).
-
-    Texts are partitioned by id once; counting, ranking and scoring a text then
-    need no other shuffle, since every group key starts with the id.
+    A trigram that a language lacks counts as seen once more than never.
     """
-    rows = _spread(docs.select(doc_id, lang, text), doc_id)
-    grams = rows.select(doc_id, lang, F.explode(trigrams(F.col(text))).alias("gram"))
-    per_doc = grams.groupBy(doc_id, lang, "gram").agg(F.count("*").alias("n"))
-
-    known = per_doc.filter(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("guess"), "gram")
-    profiles = _ranked_profile(known.agg(F.sum("n").alias("n")), "guess", size)
-    profiles = profiles.withColumnRenamed("rank", "profile_rank")
-    languages = docs.select(lang).distinct().count()
-
-    mine = _ranked_profile(per_doc.select(doc_id, "gram", "n"), doc_id, size)
-    mine = mine.withColumn("total", F.count("*").over(Window.partitionBy(doc_id)))
-    # a gram the profile lacks costs ``size``; charging it up front leaves only matches to join
+    grams = docs.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("l"), F.explode(trigrams(F.col(text))).alias("gram"))
+    counts = materialize(grams.groupBy("l", "gram").agg(F.count("*").alias("n")), "trigrams")
+    kinds = counts.agg(F.count_distinct("gram")).first()[0]
+    totals = {r["l"]: r["n"] for r in counts.groupBy("l").agg(F.sum("n").alias("n")).collect()}  # a row per language
+    by_language = counts.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("l", "n"))).alias("seen"))
+    shares = [
+        F.struct(
+            F.lit(l).alias("guess"),
+            F.log((F.coalesce(F.element_at("seen", F.lit(l)), F.lit(0)) + 1) / F.lit(float(n + kinds))).alias("share"),
+        )
+        for l, n in sorted(totals.items())
+    ]
+    return by_language.select("gram", F.array(*shares).alias("shares") if shares else F.array().alias("shares"))
+
+
+def guess_language(docs: DataFrame, doc_id: str, text: str, lang: str, learn: Column | None = None) -> DataFrame:
+    """Language of each text: the one in which all its trigrams together are likeliest.
+
+    Learns from the texts with a known ``lang`` for which ``learn`` holds (all by
+    default). Adds ``guess``, null for a text without a known trigram. Trigrams
+    are scored where the text is read; what travels is one sum per text and language.
+    """
+    taught = docs if learn is None else docs.filter(learn)
+    model = materialize(language_model(taught, text, lang), "languages")
+    known = _small(model, model.count() * (1 + (model.select(F.size("shares")).first() or [0])[0]))
+    grams = docs.select(doc_id, F.explode(trigrams(F.col(text))).alias("gram"))
     scored = (
-        mine.join(_small(profiles, languages * size), "gram")
+        grams.join(known, "gram")
+        .select(doc_id, F.inline("shares"))
         .groupBy(doc_id, "guess")
-        .agg((F.sum(F.abs(F.col("rank") - F.col("profile_rank")) - size) + F.first("total") * size).alias("distance"))
+        .agg(F.round(F.sum("share"), 6).alias("score"))
     )
-    best = scored.groupBy(doc_id).agg(F.min_by("guess", F.struct("distance", "guess")).alias("guess"))
-    return rows.select(doc_id, lang).join(best, doc_id, "left")
+    best = scored.groupBy(doc_id).agg(F.min_by("guess", F.struct((-F.col("score")).alias("less"), "guess")).alias("guess"))
+    return docs.select(doc_id, lang).join(best, doc_id, "left")
 
 
 def _spread(df: DataFrame, key: str | Column) -> DataFrame:
@@ -105,12 +110,23 @@ def _adjacent_swap(a: Column, b: Column) -> Column:
     return (F.length(a) == F.length(b)) & neighbours & swapped
 
 
+def _swap_and_edit(a: Column, b: Column) -> Column:
+    """Some swap of neighbours in ``a`` leaves at most one edit, or one more swap, to ``b``."""
+    places = F.when(F.length(a) > 1, F.sequence(F.lit(1), F.length(a) - 1)).otherwise(F.array().cast("array<int>"))
+
+    def after(i: Column) -> Column:
+        swapped = F.concat(F.substr(a, F.lit(1), i - 1), F.reverse(F.substr(a, i, F.lit(2))), F.substr(a, i + 2))
+        return (F.levenshtein(swapped, b) <= 1) | _adjacent_swap(swapped, b)
+
+    return F.exists(places, after)
+
+
 def correct_words(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """The correction of each distinct ``word``: itself if known or if nothing is near.
 
     ``vocabulary`` has ``word`` and its frequency ``n``. Nearest means the
-    fewest edits, at most two, a swap of neighbours counting as one; then the
-    most frequent; then the first in the alphabet.
+    fewest edits, at most two, a swap of neighbours counting as one edit beside
+    others too; then the most frequent; then the first in the alphabet.
     """
     words = words.select("word").distinct()
     # counted once from the corpus, then read three times
@@ -123,13 +139,15 @@ def correct_words(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
     right = _small(right, vocabulary.count() * 56)  # 1 + 10 + 45 keys at most
 
     w, c = F.col("word"), F.col("candidate")
-    edits = F.levenshtein(w, c, 2)
+    plain = F.levenshtein(w, c, 4)  # a swap of neighbours is two plain edits
+    swapped = _swap_and_edit(w, c) | _swap_and_edit(c, w)
+    edits = F.when(_adjacent_swap(w, c), 1).when(plain <= 2, plain).when(swapped, 2)
     near = (
         wrong.join(right, "key")
         .filter(F.abs(F.length(w) - F.length(c)) <= 2)
+        .filter(plain.between(0, 4))
         .withColumn("edits", edits)
-        .filter(F.col("edits").between(0, 2))
-        .withColumn("edits", F.when(_adjacent_swap(w, c), 1).otherwise(F.col("edits")))
+        .filter(F.col("edits").isNotNull())
     )
     best = near.groupBy("word").agg(
         F.min_by("candidate", F.struct("edits", (-F.col("n")).alias("less"), "candidate")).alias("found")
@@ -137,10 +155,22 @@ def correct_words(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return words.join(best, "word", "left").select("word", F.coalesce("found", "word").alias("correction"))
 
 
-def list_links(pages: DataFrame, page_id: str, html: str) -> DataFrame:
-    """Targets and texts of the links in list items, paired in page order."""
-    item = r'<li>\s*<a\s+href="([^"]*)"[^>]*>([^<]*)</a>'
-    targets = F.regexp_extract_all(html, F.lit(item), F.lit(1))
-    titles = F.regexp_extract_all(html, F.lit(item), F.lit(2))
-    rows = pages.select(page_id, F.posexplode(zip_rows(targets.alias("target"), titles.alias("title"))))
-    return rows.select(page_id, F.col("pos").alias("place"), "col.target", "col.title")
+def list_links(pages: DataFrame, page_id: str, html: str, container: str | None = None) -> DataFrame:
+    """Targets and texts of the links in list items, in page order.
+
+    Items and links may have any attributes, in any order and in either quote;
+    tags inside a link's text are dropped. ``container`` is a class: only lists
+    inside the first element of that class and up to its end tag are read.
+    """
+    scope = F.col(html)
+    if container is not None:
+        opening = rf"""(?s)<(\w+)\b[^>]*\bclass\s*=\s*["'][^"']*(?<![\w-]){container}(?![\w-])[^"']*["'][^>]*>(.*?)</\1>"""
+        scope = F.regexp_extract(scope, opening, 2)
+    item = r"(?s)<li\b[^>]*>\s*<a\b(?:\s[^>]*)?>.*?</a>"
+    links = pages.select(page_id, F.posexplode(F.regexp_extract_all(scope, F.lit(item), F.lit(0))).alias("place", "link"))
+    inside = F.regexp_extract("link", r"(?s)<a\b([^>]*)>", 1)
+    quoted = F.regexp_extract(inside, r"""(?:^|\s)href\s*=\s*(?:"([^"]*)"|'([^']*)')""", 1)
+    single = F.regexp_extract(inside, r"""(?:^|\s)href\s*=\s*(?:"([^"]*)"|'([^']*)')""", 2)
+    title = F.regexp_replace(F.regexp_extract("link", r"(?s)<a\b[^>]*>(.*?)</a>", 1), "<[^>]*>", "")
+    has_target = inside.rlike(r"""(?:^|\s)href\s*=\s*["']""")
+    return links.filter(has_target).select(page_id, "place", F.concat(quoted, single).alias("target"), title.alias("title"))

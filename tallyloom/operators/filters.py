@@ -67,11 +67,18 @@ def calendar(df: DataFrame, start: dt.date, stop: dt.date, step: str, name: str)
 
 
 def on_calendar(df: DataFrame, column: str, start: dt.date, stop: dt.date, step: str) -> DataFrame:
-    """Keep rows whose date is one of a generated calendar."""
+    """Keep rows whose date is one of a generated calendar.
+
+    The calendar's ends are stated as a range too, because only that reaches the
+    Parquet row groups.
+    """
     days = calendar(df, start, stop, step, "_day")
     if (stop - start).days <= BROADCAST_DAYS:
         days = F.broadcast(days)
-    return df.join(days, F.to_date(column) == F.col("_day"), "left_semi")
+    end = stop + dt.timedelta(days=1)
+    kind = df.schema[column].dataType
+    ends = F.col(column).between(F.lit(start).cast(kind), F.lit(end).cast(kind))
+    return df.filter(ends).join(days, F.to_date(column) == F.col("_day"), "left_semi")
 
 
 def near(x: Column, y: Column, centre: tuple[float, float], reach: float) -> Column:

@@ -61,7 +61,7 @@ def running_total(
     carried = (
         ranged.groupBy(*within)
         .agg(F.sum("_amount").alias("_total"))
-        .withColumn("_carried", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
+        .withColumn("_carried", F.sum("_total").over(earlier))
         .drop("_total")
     )
     for c in partition:
@@ -73,7 +73,8 @@ def running_total(
     return (
         ranged.withColumn(out, F.sum("_amount").over(so_far))
         .join(carried, same, "left")
-        .withColumn(out, F.col(out) + F.col("_carried"))
+        # either is null while no value has been seen, and then the other one counts alone
+        .withColumn(out, F.coalesce(F.col(out) + F.col("_carried"), out, "_carried"))
         .select(*df.columns, out)
     )
 
@@ -155,16 +156,18 @@ def change_from_previous(
 ) -> DataFrame:
     """Absolute change against the previous row, and as percent of the newer value.
 
-    The first row of a group has no predecessor and is left out.
+    The first row of a group has no predecessor and is left out. Next to a null
+    value the change is null.
     """
     chunks = with_predecessors(df, partition, order, 1, window_rows)
     w = Window.partitionBy(*partition, "_chunk").orderBy(*order)
     return (
         chunks.withColumn("previous", F.lag(value).over(w))
-        .filter(~F.col("_copy") & F.col("previous").isNotNull())
+        .withColumn("_follows", F.lag(F.lit(True)).over(w))
+        .filter(~F.col("_copy") & F.col("_follows"))
         .withColumn("difference", F.abs(F.col(value) - F.col("previous")))
         .withColumn("percent", F.try_divide("difference", F.col(value)) * 100)
-        .drop("_chunk", "_copy")
+        .drop("_chunk", "_copy", "_follows")
     )
 
 

@@ -1,7 +1,8 @@
 """Long to wide, wide to long, and nested to flat.
 
-Wide shapes always take an explicit list of column values: finding it out would
-cost a job of its own and make the schema depend on the data.
+Wide shapes take an explicit list of column values: finding it out would cost a
+job of its own and make the schema depend on the data. A value outside the list
+is an error, never a lost cell; ``headers`` finds the list out.
 """
 
 from __future__ import annotations
@@ -14,11 +15,30 @@ from pyspark.sql import functions as F
 from tallyloom.functions.arrays import reshape
 
 
+# The most columns that ``headers`` makes of a table's values.
+MOST_HEADERS = 1_000
+
+
+def headers(df: DataFrame, column: str | Column, most: int = MOST_HEADERS) -> list:
+    """The distinct values of a column in order, at most ``most``; more are an error."""
+    found = df.select(F.col(column).alias("h") if isinstance(column, str) else column.alias("h")).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} different headers")
+    return sorted((r["h"] for r in found if r["h"] is not None), key=lambda h: (str(type(h)), h))
+
+
+def _only(df: DataFrame, column: str, values: Sequence) -> DataFrame:
+    """``df``; reading it fails at a header that is not in ``values``. Null is no header."""
+    c = F.col(column)
+    unknown = F.raise_error(F.concat(F.lit("a header outside the list: "), c.cast("string"))).cast("boolean")
+    return df.filter(F.when(c.isNull() | c.isin(*values), F.lit(True)).otherwise(unknown))
+
+
 def pivot_unique(df: DataFrame, index: Sequence[str], column: str, values: Sequence, value: str) -> DataFrame:
     """One row per index, one column per value; two rows for one cell are an error."""
     repeated = F.raise_error(F.lit(f"several rows for one ({', '.join(index)}, {column})"))
     cell = F.when(F.count(F.lit(1)) > 1, repeated).otherwise(F.first(value))
-    return df.groupBy(*index).pivot(column, list(values)).agg(cell)
+    return _only(df, column, values).groupBy(*index).pivot(column, list(values)).agg(cell)
 
 
 def pivot_table(
@@ -32,12 +52,13 @@ def pivot_table(
     """Aggregating pivot, the mean by default.
 
     Several column keys become one flattened header such as ``A_O``, and
-    ``values`` names the headers wanted.
+    ``values`` names all headers.
     """
     if not columns:
         return df.groupBy(*index).agg(f(value).alias(value))
     header = F.concat_ws("_", *columns)
-    return df.withColumn("_header", header).groupBy(*index).pivot("_header", list(values)).agg(f(value))
+    headed = _only(df.withColumn("_header", header), "_header", values)
+    return headed.groupBy(*index).pivot("_header", list(values)).agg(f(value))
 
 
 def melt(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str, value: str) -> DataFrame:

@@ -1,30 +1,10 @@
-"""Bag difference for tables in which one row may repeat without end."""
+"""Bag difference."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Copies of one row that a single task writes out.
-COPIES_PER_TASK = 1_000_000
 
-
-def bag_difference(left: DataFrame, right: DataFrame, copies: int = COPIES_PER_TASK) -> DataFrame:
-    """``left`` minus ``right``, each row of ``right`` taking away one copy.
-
-    Both sides are folded to (row, count) in the map tasks. The copies that are
-    left are written out in runs, and the runs of rows with many copies are
-    spread over the tasks first.
-    """
-    columns = left.columns
-    signed = left.withColumn("_n", F.lit(1).cast("long")).unionByName(
-        right.select(*columns).withColumn("_n", F.lit(-1).cast("long"))
-    )
-    kept = signed.groupBy(*columns).agg(F.sum("_n").alias("_n")).filter("_n > 0")
-    few = kept.filter(F.col("_n") <= copies).select(*columns, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i"))
-    runs = kept.filter(F.col("_n") > copies).withColumn(
-        "_from", F.explode(F.sequence(F.lit(1), F.col("_n"), F.lit(copies)))
-    )
-    last = F.least(F.col("_from") + copies - 1, F.col("_n"))
-    many = runs.repartition(*columns, "_from").select(*columns, F.explode(F.sequence(F.col("_from"), last)).alias("_i"))
-    return few.unionByName(many).drop("_i")
+def bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``left`` minus ``right``, each row of ``right`` taking away one copy."""
+    return left.exceptAll(right.select(*left.columns))

@@ -59,8 +59,29 @@ def delete(df: DataFrame, keys: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def insert_new(df: DataFrame, rows: DataFrame, unique: Sequence[str]) -> DataFrame:
-    """Add the rows whose unique columns are not taken yet."""
-    return df.unionByName(keep_missing(rows, df, unique))
+    """Add the rows whose unique columns are not taken yet; of new rows with one key, the smallest row."""
+    row = F.struct(*[F.col(c) for c in df.columns])
+    single = rows.groupBy(*unique).agg(F.min(row).alias("_row")).select("_row.*")
+    return df.unionByName(keep_missing(single, df, unique))
+
+
+def insert_checked(
+    df: DataFrame, rows: DataFrame, unique: Sequence[str], parents: DataFrame | None = None, on: Sequence[str] = ()
+) -> DataFrame:
+    """``df`` and all of ``rows``; reading it fails if a unique key is taken or repeats, or a parent is missing.
+
+    Keys that hold a null are not compared, as in SQL.
+    """
+    names = ", ".join(unique)
+    known = df.select(*unique).dropna().withColumn("_old", F.lit(1))
+    counts = known.unionByName(rows.select(*unique).dropna().withColumn("_old", F.lit(0)))
+    taken = counts.groupBy(*unique).agg(F.count("*").alias("n"), F.min("_old").alias("new")).filter("n > 1 AND new = 0")
+    problems = taken.agg(F.count("*")).scalar()
+    allowed = F.when(problems > 0, F.raise_error(F.lit(f"a row with this {names} is there already")).cast("boolean"))
+    if parents is not None:
+        lost = orphans(rows.select(*on).dropna(), parents, on).agg(F.count("*")).scalar()
+        allowed = allowed.when(lost > 0, F.raise_error(F.lit(f"no parent with this {', '.join(on)}")).cast("boolean"))
+    return df.unionByName(rows.filter(allowed.otherwise(F.lit(True))))
 
 
 def unique_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -70,20 +70,20 @@ def flags(t: Tables):
 
 @query(
     "dat_shift",
-    """SELECT event_id, ts + INTERVAL 5 DAY AS later, ts - INTERVAL 5 DAY AS earlier, ts + INTERVAL 3 MONTH AS quarter_on,
-              ts - INTERVAL 1 YEAR AS year_ago,
-              ts + INTERVAL 15 MONTH + INTERVAL 2 DAY + INTERVAL 14 HOUR + INTERVAL 23 MINUTE + INTERVAL 12 SECOND AS mixed
+    """SELECT event_id, ts + INTERVAL 9 DAY AS later, ts - INTERVAL 40 DAY AS earlier, ts + INTERVAL 7 MONTH AS months_on,
+              ts - INTERVAL 2 YEAR AS years_ago,
+              ts + INTERVAL 47 MONTH + INTERVAL 8 DAY + INTERVAL 5 HOUR + INTERVAL 41 MINUTE + INTERVAL 6 SECOND AS mixed
        FROM events""",
 )
 def shifted(t: Tables):
     ts = F.col("ts")
     return t.events.select(
         "event_id",
-        dates.shift(ts, days=5).alias("later"),
-        dates.shift(ts, days=-5).alias("earlier"),
-        dates.shift(ts, months=3).alias("quarter_on"),
-        dates.shift(ts, years=-1).alias("year_ago"),
-        dates.shift(ts, years=1, months=3, days=2, hours=14, minutes=23, seconds=12).alias("mixed"),
+        dates.shift(ts, days=9).alias("later"),
+        dates.shift(ts, days=-40).alias("earlier"),
+        dates.shift(ts, months=7).alias("months_on"),
+        dates.shift(ts, years=-2).alias("years_ago"),
+        dates.shift(ts, years=3, months=11, days=8, hours=5, minutes=41, seconds=6).alias("mixed"),
     )
 
 
@@ -111,13 +111,13 @@ def anchors(t: Tables):
 
 @query(
     "dat_diff",
-    """SELECT event_id, round(epoch(ts - TIMESTAMP '2024-01-15 12:30:48'), 6) AS seconds,
-              ts - TIMESTAMP '2024-01-15 12:30:48' > INTERVAL 3 DAY + INTERVAL 2 HOUR + INTERVAL 5 MINUTE AS much_later
+    """SELECT event_id, round(epoch(ts - TIMESTAMP '2024-01-15 06:07:21'), 6) AS seconds,
+              ts - TIMESTAMP '2024-01-15 06:07:21' > INTERVAL 11 DAY + INTERVAL 7 HOUR + INTERVAL 40 MINUTE AS much_later
        FROM events""",
 )
 def differences(t: Tables):
-    moment = F.lit("2024-01-15 12:30:48").cast("timestamp_ntz")
-    long = F.make_dt_interval(F.lit(3), F.lit(2), F.lit(5), F.lit(0))
+    moment = F.lit("2024-01-15 06:07:21").cast("timestamp_ntz")
+    long = F.make_dt_interval(F.lit(11), F.lit(7), F.lit(40), F.lit(0))
     return t.events.select(
         "event_id",
         F.round(seconds_between(moment, F.col("ts")), 6).alias("seconds"),

@@ -122,13 +122,16 @@ def vectors_by_class_means(t: Tables):
 
 @query(
     "arr_weighted",
-    """SELECT vec_id, round(0.2126 * CAST(embedding[1] AS DOUBLE) + 0.7152 * CAST(embedding[2] AS DOUBLE)
-              + 0.0722 * CAST(embedding[3] AS DOUBLE), 9) AS grey FROM embeddings""",
+    """SELECT vec_id, round(list_sum(list_transform(embedding, lambda x, i:
+                CAST(x AS DOUBLE) * CASE i % 3 WHEN 1 THEN 0.2126 WHEN 2 THEN 0.7152 ELSE 0.0722 END)), 9) AS grey
+       FROM embeddings""",
 )
 def weighted(t: Tables):
     # The weights of red, green and blue in a grey level.
     weights = [0.2126, 0.7152, 0.0722]
-    grey = arrays.dot(F.slice(_doubles(), 1, 3), weights)
+    channel = F.array(*[F.lit(w) for w in weights])
+    weighed = F.transform(_doubles(), lambda x, i: x * F.get(channel, i % 3))
+    grey = F.aggregate(weighed, F.lit(0.0), lambda total, x: total + x)
     return t.embeddings.select("vec_id", F.round(grey, 9).alias("grey"))
 
 

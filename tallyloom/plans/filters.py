@@ -60,10 +60,10 @@ def member(t: Tables):
 @query(
     "flt_date_in",
     """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders
-       WHERE month(o_orderdate) = 8 AND day(o_orderdate) = 25 AND year(o_orderdate) BETWEEN 1993 AND 2024""",
+       WHERE month(o_orderdate) = 3 AND day(o_orderdate) = 17 AND year(o_orderdate) BETWEEN 1989 AND 2027""",
 )
 def on_birthdays(t: Tables):
-    days = filters.on_calendar(t.orders, "o_orderdate", dt.date(1993, 8, 25), dt.date(2024, 8, 25), "1 year")
+    days = filters.on_calendar(t.orders, "o_orderdate", dt.date(1989, 3, 17), dt.date(2027, 3, 17), "1 year")
     return days.select("o_orderkey", F.to_date("o_orderdate").alias("day"))
 
 

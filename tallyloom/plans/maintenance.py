@@ -103,10 +103,24 @@ def broken_rules(t: Tables):
 
 @query(
     "tbl_constraints_insert",
+    # every supplier comes twice, so the new rows repeat their own keys too
     """SELECT c_name AS name, c_acctbal AS balance FROM customer
-       UNION ALL SELECT s_name, s_acctbal FROM supplier WHERE s_name NOT IN (SELECT c_name FROM customer)""",
+       UNION ALL SELECT s_name, min(s_acctbal) FROM supplier WHERE s_name NOT IN (SELECT c_name FROM customer) GROUP BY s_name""",
 )
 def inserted_if_free(t: Tables):
     taken = t.customer.select(F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"))
     suppliers = t.supplier.select(F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance"))
-    return tables.insert_new(taken, suppliers.unionByName(taken), ["name"])
+    again = suppliers.withColumn("balance", F.col("balance") + 1)
+    return tables.insert_new(taken, suppliers.unionByName(again).unionByName(taken), ["name"])
+
+
+@query(
+    "tbl_insert_checked",
+    """SELECT o_orderkey AS id, o_custkey AS customer FROM orders
+       UNION ALL SELECT -1 - c_custkey, c_custkey FROM customer""",
+)
+def inserted_with_keys(t: Tables):
+    orders = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer"))
+    more = t.customer.select((-1 - F.col("c_custkey")).alias("id"), F.col("c_custkey").alias("customer"))
+    customers = t.customer.select(F.col("c_custkey").alias("customer"))
+    return tables.insert_checked(orders, more, ["id"], customers, ["customer"])

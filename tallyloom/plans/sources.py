@@ -201,6 +201,26 @@ def csv_sink(t: Tables):
     return readers.read_csv(t.spark, path, "o_orderkey bigint, o_orderpriority string, o_totalprice double")
 
 
+@query(
+    "snk_csv_text",
+    "SELECT doc_id, md5(text) AS digest, length(text) AS characters FROM documents",
+)
+def csv_text_sink(t: Tables):
+    # texts hold line breaks, quotes and blanks at their ends
+    path = scratch_path(t.spark, "csv-text")
+    sinks.write_csv(t.documents, path, ["doc_id", "text"])
+    back = readers.read_csv(t.spark, path, "doc_id bigint, text string", multi_line=True)
+    return back.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), F.length("text").cast("bigint").alias("characters"))
+
+
+@query("src_csv_inferred", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def csv_inferred(t: Tables):
+    path = _csv_copy(t, "supplier", "csv-inferred", "s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    found = readers.read_csv(t.spark, path)
+    # inference makes whole numbers int where they fit, so the key is widened back
+    return found.withColumn("s_suppkey", F.col("s_suppkey").cast("bigint"))
+
+
 @query("snk_json", "SELECT s_suppkey, s_name, s_acctbal FROM supplier")
 def json_sink(t: Tables):
     path = scratch_path(t.spark, "json-out")

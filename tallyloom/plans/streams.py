@@ -24,7 +24,7 @@ def filtered(df):
          AND (hour(ts) >= 18 OR hour(ts) <= 6)""",
 )
 def poll_alerts(t: Tables):
-    sightings = alerts.open_stream(t.spark, t.root, t.events.schema, "events.parquet")
+    sightings = alerts.open_stream(t.spark, f"{t.root}/events.parquet", t.events.schema)
     out = scratch_path(t.spark, "alerts")
     run = alerts.start_alerts(filtered(sightings), out, scratch_path(t.spark, "alerts-log"), once=True)
     run.awaitTermination()

@@ -45,7 +45,8 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of its own machine.
+    Only where it is unset and driver and tasks are one process (tests, bench) is
+    a folder of this machine taken instead.
     """
     sc = spark.sparkContext
     shared = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
@@ -53,7 +54,7 @@ def scratch_root(spark: SparkSession) -> str:
         return shared
     app = sc.applicationId
     if app not in _LOCAL_SCRATCH:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="tallyloom-")
         sc.setCheckpointDir(_LOCAL_SCRATCH[app])

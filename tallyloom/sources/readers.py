@@ -32,15 +32,21 @@ def read_csv(
     sep: str = ",",
     names: Sequence[str] | None = None,
     date_format: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Delimited files with a header row.
 
     Types are inferred, at the price of a second pass, only without a schema.
-    ``names`` replaces the header.
+    ``names`` replaces the header. ``multi_line`` reads line breaks inside quotes
+    as part of the value; such files are not split, so they should be written in
+    pieces (``maxRecordsPerFile``). An empty text is read as null.
     """
     reader = spark.read.option("header", True).option("sep", sep).option("escape", '"')
     if date_format is not None:
         reader = reader.option("dateFormat", date_format)
+    if multi_line:
+        # only the writer's own line end ends a row, and no blanks are cut
+        reader = reader.option("multiLine", True).option("lineSep", "\n")
     reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
     df = reader.csv(path if isinstance(path, str) else list(path))
     return df if names is None else df.toDF(*names)

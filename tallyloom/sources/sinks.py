@@ -7,12 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# values are written as they are, blanks at their ends and quotes included
+_AS_THEY_ARE = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def write_csv(
     df: DataFrame, path: str, columns: Sequence[str] | None = None, sep: str = ",", mode: str = "error"
 ) -> None:
     out = df if columns is None else df.select(*columns)
-    out.write.mode(mode).option("escape", '"').csv(path, header=True, sep=sep)
+    out.write.mode(mode).options(**_AS_THEY_ARE).csv(path, header=True, sep=sep)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "error") -> None:
@@ -25,7 +28,7 @@ def write_by_group(df: DataFrame, path: str, group: str, mode: str = "error") ->
 
     The rebalance hint gathers small groups into few files and splits big ones.
     """
-    df.hint("rebalance", F.col(group)).write.mode(mode).partitionBy(group).option("escape", '"').csv(
+    df.hint("rebalance", F.col(group)).write.mode(mode).partitionBy(group).options(**_AS_THEY_ARE).csv(
         path, header=True
     )
 

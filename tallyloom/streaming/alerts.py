@@ -24,9 +24,19 @@ def overhead_in_the_dark(
     return df.filter(near(x, y, centre, reach) & is_dark(F.hour(ts), sunrise, sunset))
 
 
-def open_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern: str) -> DataFrame:
-    """A stream of the Parquet files in a folder whose names match ``pattern``."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+def open_stream(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
+    """A stream of the Parquet files of a table: of its folder, or of the one file it is.
+
+    Spark lists the path itself, so any file system will do.
+    """
+    listed = spark._jvm.org.apache.hadoop.fs.Path(table)
+    files = listed.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(listed):
+        raise FileNotFoundError(table)
+    if files.getFileStatus(listed).isDirectory():
+        return spark.readStream.schema(schema).parquet(table)
+    folder, _, name = table.rpartition("/")
+    return spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
 
 
 def start_alerts(alerts: DataFrame, out: str, checkpoint: str, once: bool = False) -> StreamingQuery:

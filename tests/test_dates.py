@@ -35,12 +35,12 @@ def test_anchors(days, column, offset):
 @pytest.mark.parametrize(
     "start,stop,freq,pandas_freq",
     [
-        ("2025-01-01", "2025-01-07", "D", "D"), ("2025-01-01", "2025-01-07", "2D", "2D"),
-        ("2025-01-01", "2025-01-07", "B", "B"), ("2025-01-01", "2025-01-31", "W", "W"),
-        ("2025-01-01", "2025-01-31", "W-FRI", "W-FRI"), ("2025-01-01", "2025-01-31", "W-THU", "W-THU"),
-        ("2025-01-01", "2025-12-31", "M", "ME"), ("2025-01-15", "2025-12-30", "M", "ME"),
-        ("2025-01-02", "2025-12-31", "MS", "MS"), ("2025-01-01", "2050-12-31", "A", "YE"),
-        ("2025-03-01", "2030-05-01", "AS", "YS"),
+        ("1996-02-29", "2032-02-28", "A", "YE"), ("1999-12-31", "2004-01-01", "AS", "YS"),
+        ("2024-02-27", "2024-03-02", "D", "D"), ("2023-02-26", "2023-03-03", "2D", "2D"),
+        ("2021-05-08", "2021-05-17", "B", "B"), ("2021-05-09", "2021-05-09", "W", "W"),
+        ("2022-07-02", "2022-08-13", "W-FRI", "W-FRI"), ("2022-07-07", "2022-07-07", "W-THU", "W-THU"),
+        ("2023-11-30", "2024-03-31", "M", "ME"), ("2024-02-29", "2024-06-29", "M", "ME"),
+        ("2019-10-01", "2020-04-01", "MS", "MS"),
     ],
 )
 def test_date_ranges(spark, start, stop, freq, pandas_freq):
@@ -51,8 +51,8 @@ def test_date_ranges(spark, start, stop, freq, pandas_freq):
 
 @pytest.mark.parametrize(
     "start,stop,freq,pandas_freq",
-    [("2025-01-01", "2025-01-31", "H", "h"), ("2025-01-01", "2025-01-31", "6H", "6h"),
-     ("2000-01-01", "2020-12-31", "24D 3H", "24D3h")],
+    [("2024-02-28", "2024-03-01", "H", "h"), ("2018-12-30", "2019-01-02", "6H", "6h"),
+     ("2015-06-11", "2016-03-01", "24D 3H", "24D3h")],
 )
 def test_timestamp_ranges(spark, start, stop, freq, pandas_freq):
     a, b = F.lit(start).cast("timestamp_ntz"), F.lit(stop).cast("timestamp_ntz")
@@ -62,10 +62,10 @@ def test_timestamp_ranges(spark, start, stop, freq, pandas_freq):
 
 def test_periods(spark):
     row = spark.range(1).select(
-        dates.date_periods(F.lit(dt.date(2012, 9, 9)), 25), dates.date_periods(F.lit(dt.date(2013, 10, 31)), 20, True)
+        dates.date_periods(F.lit(dt.date(2020, 2, 22)), 9), dates.date_periods(F.lit(dt.date(2021, 3, 4)), 11, True)
     ).first()
-    assert row[0] == [t.date() for t in pd.date_range(start="2012-09-09", freq="D", periods=25)]
-    assert row[1] == [t.date() for t in pd.date_range(end="2013-10-31", freq="D", periods=20)]
+    assert row[0] == [t.date() for t in pd.date_range(start="2020-02-22", freq="D", periods=9)]
+    assert row[1] == [t.date() for t in pd.date_range(end="2021-03-04", freq="D", periods=11)]
 
 
 def test_shift_clamps_to_the_month(spark):

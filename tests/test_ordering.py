@@ -152,3 +152,24 @@ def test_positions_are_those_of_pandas(skewed):
     got = ordering.row_index(skewed, [F.asc("v"), F.asc("id")], "p", (), SMALL).toPandas().sort_values("p")
     want = skewed.toPandas().sort_values(["v", "id"])
     pd.testing.assert_series_equal(got["id"].reset_index(drop=True), want["id"].reset_index(drop=True))
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 5])
+def test_nulls_in_running_totals(spark, limit):
+    rows = [(g, i, None if i % 3 == 0 or i < 4 else i) for g in ("a", "b") for i in range(24)]
+    df = spark.createDataFrame(rows, "g string, i int, v int").repartition(4)
+    got = ordering.running_total(df, ["g"], [F.asc("i")], F.col("v"), "total", limit).collect()
+    for g in ("a", "b"):
+        seen, want = [], {}
+        for _, i, v in sorted(r for r in [(r[0], r[1], r[2]) for r in rows] if r[0] == g):
+            seen += [v] if v is not None else []
+            want[i] = sum(seen) if seen else None
+        assert {r["i"]: r["total"] for r in got if r["g"] == g} == want
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 4])
+def test_change_keeps_the_row_after_a_null(spark, limit):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([1.0, None, 3.0, 6.0, None, None, 2.0, 4.0])], "i int, v double")
+    got = ordering.change_from_previous(df.withColumn("g", F.lit("x")), ["g"], [F.asc("i")], "v", limit).collect()
+    want = {1: None, 2: None, 3: 3.0, 4: None, 5: None, 6: None, 7: 2.0}
+    assert {r["i"]: r["difference"] for r in got} == want

@@ -100,17 +100,13 @@ def test_stream_equals_batch_and_resumes(spark):
     for part in (None, second):
         if part is not None:
             part.write.mode("append").parquet(folder)
-        stream = alerts.open_stream(spark, folder, events.schema, "*.parquet")
+        stream = alerts.open_stream(spark, folder, events.schema)
         alerts.start_alerts(filtered(stream), out, log, once=True).awaitTermination()
     assert ids(spark.read.parquet(out)) == ids(filtered(events))
 
 
-def _edits(a, b):
-    """Levenshtein distance, a lone swap of neighbours counting as one edit."""
-    if len(a) == len(b):
-        d = [i for i in range(len(a)) if a[i] != b[i]]
-        if len(d) == 2 and d[1] == d[0] + 1 and a[d[0]] == b[d[1]] and a[d[1]] == b[d[0]]:
-            return 1
+def _plain(a, b):
+    """Levenshtein distance."""
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         nxt = [i]
@@ -120,12 +116,33 @@ def _edits(a, b):
     return row[-1]
 
 
+def _swaps(a):
+    return {a[:i] + a[i + 1] + a[i] + a[i + 2 :] for i in range(len(a) - 1)}
+
+
+def _edits(a, b):
+    """Insertions, deletions, changes and swaps of neighbours from ``a`` to ``b``; 3 stands for more than two."""
+    plain = _plain(a, b)
+    if plain <= 1:
+        return plain
+    if b in _swaps(a):
+        return 1
+    if plain == 2:
+        return 2
+    near = plain <= 4 and (
+        any(_plain(s, b) <= 1 or b in _swaps(s) for s in _swaps(a)) or any(_plain(s, a) <= 1 for s in _swaps(b))
+    )
+    return 2 if near else 3
+
+
 @pytest.mark.parametrize("limit", [corpus.BROADCAST_ROWS, 0])
 def test_spelling_against_brute_force(spark, monkeypatch, limit):
     monkeypatch.setattr(corpus, "BROADCAST_ROWS", limit)
     rnd = random.Random(5)
     known = {"".join(rnd.choice("abcé") for _ in range(rnd.randint(1, 14))): rnd.randint(1, 9) for _ in range(120)}
     words = {"".join(rnd.choice("abcé") for _ in range(rnd.randint(1, 14))) for _ in range(150)}
+    known |= {"hello": 3, "abcd": 1}
+    words |= {"hlelox", "bxadc", "badc"}
     for w in list(known)[:60]:  # words near a known one
         at = rnd.randrange(len(w))
         words |= {w[:at] + w[at + 1 :] or "z", w[:at] + "zz" + w[at:], w[:at] + w[at + 1 : at + 2] + w[at : at + 1] + w[at + 2 :]}
@@ -156,10 +173,46 @@ def test_language_of_clear_texts(spark):
     assert {r["id"]: r["guess"] for r in got.collect()} == {1: "en", 2: "fr", 3: "en", 4: "fr", 5: None}
 
 
-def test_links_are_paired_in_order(spark):
-    html = '<ul><li><a href="/x" class="k">X</a></li><li> <a href="/y">Y &amp; Z</a></li></ul><a href="/no">no</a>'
-    got = corpus.list_links(spark.createDataFrame([(1, html)], "id int, html string"), "id", "html")
-    assert [tuple(r) for r in got.collect()] == [(1, 0, "/x", "X"), (1, 1, "/y", "Y &amp; Z")]
+def test_links_of_any_form(spark):
+    html = """<div class='other'><li><a href="/zero">0</a></li></div><div class="x main-list">
+    <ul><li class="i"><a class="k" href="/x">X <b>bold</b></a></li><li> <a href='/y'
+    id="1">Y &amp; Z</a></li><li><a>none</a></li><li><a data-href="/no">no</a></li></ul></div><a href="/no">no</a>"""
+    pages = spark.createDataFrame([(1, html), (2, None), (3, "")], "id int, html string")
+    got = [tuple(r)[2:] for r in corpus.list_links(pages, "id", "html").collect()]
+    assert got == [("/zero", "0"), ("/x", "X bold"), ("/y", "Y &amp; Z")]
+    scoped = [tuple(r) for r in corpus.list_links(pages, "id", "html", container="main-list").collect()]
+    assert scoped == [(1, 0, "/x", "X bold"), (1, 1, "/y", "Y &amp; Z")]
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_alerts_over_one_file_or_many(spark, files):
+    from tallyloom.plans import streams
+    from tallyloom.plans.registry import Tables
+    from tallyloom.session import scratch_path
+
+    root = scratch_path(spark, "alert-test")
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(files).write.parquet(f"{root}/events.parquet")
+    assert streams.poll_alerts(Tables(spark, root)).count() == streams.filtered(events).count() > 0
+    with pytest.raises(FileNotFoundError):
+        alerts.open_stream(spark, f"{root}/nothing.parquet", events.schema)
+
+
+def test_keys_hold_on_insert(spark):
+    old = spark.createDataFrame([(1, 10), (2, 20)], "id int, parent int")
+    parents = spark.createDataFrame([(10,), (20,)], "parent int")
+
+    def inserted(rows):
+        new = spark.createDataFrame(rows, "id int, parent int")
+        return sorted(tuple(r) for r in tables.insert_checked(old, new, ["id"], parents, ["parent"]).collect())
+
+    assert inserted([(3, 10), (4, 20)]) == [(1, 10), (2, 20), (3, 10), (4, 20)]
+    for rows, message in (([(2, 10)], "there already"), ([(3, 10), (3, 20)], "there already"), ([(3, 30)], "no parent")):
+        with pytest.raises(Exception, match=message):
+            inserted(rows)
+    twice = spark.createDataFrame([(3, 20), (3, 10), (1, 20)], "id int, parent int")
+    got = sorted(tuple(r) for r in tables.insert_new(old, twice, ["id"]).collect())
+    assert got == [(1, 10), (2, 20), (3, 10)]
 
 
 def test_scratch_is_shared_or_local(spark):
