@@ -14,17 +14,14 @@ from __future__ import annotations
 
 import base64
 import struct
-from collections.abc import Iterator
 from functools import lru_cache
 
-import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import BinaryType
 
 from tallyloom.llm.byte_level import BYTE_ALPHABET, ByteLevelEncoder, pack_ids, to_byte_alphabet
-from tallyloom.llm.common import shared_bytes
+from tallyloom.llm.common import add_columns, shared_bytes
 
 # Field numbers and enum values of sentencepiece's model format.
 _PIECES, _TRAINER, _NORMALIZER = 1, 2, 3
@@ -34,8 +31,6 @@ _MODEL_TYPE, _VOCAB_SIZE, _BPE = 3, 4, 2
 _UNK_ID, _BOS_ID, _EOS_ID, _PAD_ID = 40, 41, 42, 43
 _NAME, _ADD_DUMMY_PREFIX, _REMOVE_EXTRA_WHITESPACES, _ESCAPE_WHITESPACES = 1, 3, 4, 5
 
-#: Rows whose results are held at a time.
-_SLICE = 256
 
 
 def read_ranks(content: bytes) -> dict[bytes, int]:
@@ -129,25 +124,14 @@ def codec(rank_file: bytes, pattern: str) -> Codec:
 
 
 def _add(df: DataFrame, column: str, outputs: tuple[str, ...], rank_path: str, pattern: str) -> DataFrame:
-    """``df`` with binary columns ``outputs`` made of ``column``; they replace columns of these names.
-
-    Rows pass in slices, so that no more than a slice's results are held besides the batch.
-    """
+    """``df`` with binary columns ``outputs`` made of ``column``."""
     content = shared_bytes(df.sparkSession, rank_path)
-    others = [c for c in df.columns if c not in outputs]
-    source = df.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{column}`").alias("_from"))
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         own = codec(content.value, pattern)
-        for batch in batches:
-            for at in range(0, batch.num_rows, _SLICE):
-                some = batch.slice(at, _SLICE)
-                values = [own.table[outputs](v.as_py()) for v in some.column(some.num_columns - 1)]
-                new = [pa.array(c, pa.binary()) for c in zip(*values, strict=True)]
-                yield pa.RecordBatch.from_arrays([*some.columns[:-1], *new], names=[*others, *outputs])
-
-    schema = StructType([*source.schema.fields[:-1], *(StructField(c, BinaryType()) for c in outputs)])
-    return source.mapInArrow(add, schema)
+        return own.table[outputs], own.encode.clear
+
+    return add_columns(df, [column], dict.fromkeys(outputs, BinaryType()), start)
 
 
 def encode(df: DataFrame, text: str, rank_path: str, pattern: str) -> DataFrame:

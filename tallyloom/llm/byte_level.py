@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 import regex
 
-#: Entries a worker keeps in each cache before it starts anew; about 100 MB together.
-CACHE_ENTRIES = 300_000
+#: Entries a worker keeps in each cache before it starts anew; about 70 MB together.
+CACHE_ENTRIES = 200_000
 #: Longer pre-tokens are encoded but not kept.
 LONGEST_KEPT = 64
 
@@ -91,3 +91,7 @@ class ByteLevelEncoder:
         except _NotSeparable:
             return b"".join(map(self.pre_tokens.__getitem__, self.find(text)))
         return b"".join(map(self.pre_tokens.__getitem__, self.find(first))) + tail
+
+    def clear(self) -> None:
+        self.pre_tokens.clear()
+        self.chunks.clear()

@@ -34,7 +34,6 @@ bits, sets by 128.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -42,10 +41,11 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyloom.llm.common import materialize
+from tallyloom.llm.common import add_columns, materialize
 from tallyloom.llm.groups import components, connected, in_blocks, per_group
-from tallyloom.llm.substring_dedup import _BASES, _mix, _word_hashes, range_hashes, split_words
+from tallyloom.llm.substring_dedup import _BASES, _mix, _word_hashes, range_hashes, split_words, word_hashes
 
 #: Rows of a trie node, and of a class, that make a block.
 NODE_ROWS, CLASS_ROWS = 2_000, 500
@@ -74,7 +74,7 @@ def shingles(text: str, n: int) -> np.ndarray:
     words = split_words(text)
     if not words:
         return np.zeros(0, dtype=np.uint64)
-    hashes = np.fromiter(map(_word_hashes().__getitem__, words), dtype=np.uint64, count=len(words))
+    hashes = word_hashes(words)
     size = min(n, len(words))
     begin = np.arange(len(words) - size + 1)
     return np.unique(_mix(range_hashes(hashes, _BASES[0], begin, begin + size) + np.uint64(size)))
@@ -97,18 +97,19 @@ def signature(items: np.ndarray, count: int) -> np.ndarray:
 
 
 def signed(docs: DataFrame, n: int, count: int) -> DataFrame:
-    """Id, hash of the text, digest and size of the shingle set, and signature of each row (id, text_hash, text)."""
+    """Id, hash of the text, digest of the shingle set and signature of each row (id, text_hash, text) with a word."""
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for doc, text_hash, text in batch.itertuples(index=False):
-                items = shingles(text, n)
-                if len(items):
-                    rows.append((doc, text_hash, xxhash.xxh3_128_digest(items.tobytes()), signature(items, count).tobytes()))
-            yield pd.DataFrame(rows, columns=["id", "text_hash", "digest", "signature"])
+    def start():
+        def sign(text):
+            items = shingles(text, n)
+            if not len(items):
+                return None, None
+            return xxhash.xxh3_128_digest(items.tobytes()), signature(items, count).tobytes()
 
-    return docs.mapInPandas(sign, "id long, text_hash long, digest binary, signature binary")
+        return sign, _word_hashes().clear
+
+    kinds = {"digest": T.BinaryType(), "signature": T.BinaryType()}
+    return add_columns(docs, ["text"], kinds, start, drop=("text",)).filter("digest IS NOT NULL")
 
 
 def _candidates(nodes: DataFrame, trees: int, depth: int, least_equal: int) -> DataFrame:
@@ -161,11 +162,10 @@ def _verified(docs: DataFrame, nodes: DataFrame, classes: DataFrame, n: int, per
     members = classes.join(sizes, "label").join(nodes.select("node", "id", "text_hash"), "node")
     texts = docs.join(members, ["id", "text_hash"]).select("node", "label", "size", "text").dropDuplicates(["node"])
 
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(items=[shingles(t, n).tobytes() for t in batch["text"]])[["node", "label", "size", "items"]]
+    def start():
+        return lambda text: (shingles(text, n).tobytes(),), _word_hashes().clear
 
-    built = texts.mapInPandas(sets, "node long, label long, size long, items binary")
+    built = add_columns(texts, ["text"], {"items": T.BinaryType()}, start, drop=("text",))
     dealt = in_blocks(built, "size", CLASS_ROWS, "node")
     keyed = dealt.select(F.concat_ws("/", "label", "lo", "hi").alias("key"), "node", "block", "lo", "hi", "items")
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyloom.llm.byte_level import ByteLevelEncoder, pack_ids, to_byte_alphabet
-from tallyloom.llm.common import materialize, shared_bytes, text_or_empty
+from tallyloom.llm.common import let_go, materialize, shared_bytes, text_or_empty
 
 #: Rows of ids that a task holds before it hands them on.
 _ROWS_AT_ONCE = 512
@@ -46,6 +46,9 @@ class IdEncoder:
 
         self.plain = ByteLevelEncoder(pattern, encode)
 
+    def clear(self) -> None:
+        self.plain.clear()
+
     def __call__(self, text: str) -> bytes:
         if any(a in text for a in self.added):
             return pack_ids(self.whole.encode(text, add_special_tokens=False).ids)
@@ -90,6 +93,7 @@ def token_pieces(
                 if len(rows) >= _ROWS_AT_ONCE:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], schema=arrow)
                     rows = []
+        let_go(own.clear)
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], schema=arrow)
 

@@ -41,18 +41,20 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyloom.llm.common import materialize
+from tallyloom.llm.common import SLICE, add_columns, let_go, materialize
 
 #: Words of the stretches in one reference shard, on the average and at most.
 SHARD_WORDS = 60_000
 #: Multipliers of the two polynomial hashes modulo 2^64; odd, so that they have inverses.
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Words whose hash a worker keeps.
-_KEPT_WORDS = 500_000
+_KEPT_WORDS = 200_000
 
 
 class _WordHashes(dict):
@@ -73,6 +75,10 @@ def split_words(text: str) -> list[bytes]:
     return text.encode().split()
 
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_word_hashes().__getitem__, words), dtype=np.uint64, count=len(words))
+
+
 class _Powers:
     """Powers of a base and of its inverse modulo 2^64, as far as asked for."""
 
@@ -196,25 +202,27 @@ class SuffixAutomaton:
 def _places(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     """A row per stretch: anchor, both hashes of the stretch, document, place."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = _word_hashes()
-        for batch in batches:
+    def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for at in range(0, batch.num_rows, SLICE):
+            some = batch.slice(at, SLICE)
             out = []
-            for doc, digest, text in batch.itertuples(index=False):
-                words = split_words(text)
+            for doc, digest, text in zip(*(c for c in some.columns), strict=True):
+                doc, digest, words = doc.as_py(), digest.as_py(), split_words(text.as_py())
                 if len(words) < window:
                     continue
-                hashes = np.fromiter(map(kept.__getitem__, words), dtype=np.uint64, count=len(words))
-                h, c, c2, first, n = stretches(hashes, window, anchor)
+                h, c, c2, first, n = stretches(word_hashes(words), window, anchor)
                 out.append((h, c, c2, np.full(len(h), doc), np.full(len(h), digest), first, n))
             if out:
                 h, c, c2, doc, digest, first, n = (np.concatenate(x) for x in zip(*out, strict=True))
-                yield pd.DataFrame(
-                    {"h": h.view("int64"), "c": c.view("int64"), "c2": c2.view("int64"), "doc": doc, "digest": digest,
-                     "first": first.astype("int32"), "n": n.astype("int32")}
-                )
+                columns = [h.view("int64"), c.view("int64"), c2.view("int64"), doc, digest, first.astype("int32"), n.astype("int32")]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["h", "c", "c2", "doc", "digest", "first", "n"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from rows(batch)
+        let_go(_word_hashes().clear)
 
-    return docs.mapInPandas(cut, "h long, c long, c2 long, doc long, digest long, first int, n int")
+    return docs.mapInArrow(cut, "h long, c long, c2 long, doc long, digest long, first int, n int")
 
 
 def _distinct(shared: DataFrame) -> DataFrame:
@@ -229,17 +237,16 @@ def _words_of_stretches(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         F.collect_list(F.struct("h", "c", "c2", F.col("at.first").alias("first"), "n", "parts")).alias("s")
     )  # no longer than the document
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for doc, text, found in zip(batch["doc"], batch["text"], batch["s"], strict=True):
-                words, rows = split_words(text), []
-                for s in found:
-                    piece = b" ".join(words[s["first"] : s["first"] + s["n"]])
-                    rows.append((s["h"], s["c"], s["c2"], doc, s["parts"], piece.decode()))
-                yield pd.DataFrame(rows, columns=["h", "c", "c2", "doc", "parts", "words"])
+    def start():
+        def cut(text, found):
+            words = split_words(text)
+            return ([b" ".join(words[s["first"] : s["first"] + s["n"]]).decode() for s in found],)
+
+        return cut, lambda: None
 
     joined = docs.join(lists, ["doc", "digest"]).select("doc", "text", "s")
-    return joined.mapInPandas(cut, "h long, c long, c2 long, doc long, parts int, words string")
+    texts = add_columns(joined, ["text", "s"], {"pieces": T.ArrayType(T.StringType())}, start, drop=("text",))
+    return texts.select("doc", F.inline(F.arrays_zip("s", "pieces"))).select("s.h", "s.c", "s.c2", "doc", "s.parts", F.col("pieces").alias("words"))
 
 
 def _read_shards(pieces: DataFrame, shards: int, window: int) -> DataFrame:
@@ -328,26 +335,24 @@ def remove_repeats(
     spans = repeated_spans(source, window, anchor, shard_words)
     spans = spans.select(F.col("doc").alias("_doc"), F.col("digest").alias("_digest"), "spans")
 
-    @F.pandas_udf("text string, n_words long, n_removed long, kept_sha256 string")
-    def apply(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, spans_of in batches:
-            rows = []
-            for whole, spans_here in zip(texts, spans_of, strict=True):
-                words = split_words(whole) if whole is not None else []
-                kept = words
-                if spans_here is not None:
-                    gone = np.zeros(len(words) + 1, dtype=np.int64)
-                    for s in spans_here:
-                        gone[s["first"]] += 1
-                        gone[s["first"] + s["n"]] -= 1
-                    stays = (np.cumsum(gone[:-1]) == 0).tolist()
-                    kept = [w for w, k in zip(words, stays, strict=True) if k]
-                joined = b" ".join(kept)
-                new = whole if len(kept) == len(words) else joined.decode()
-                rows.append((new, len(words), len(words) - len(kept), hashlib.sha256(joined).hexdigest()))
-            yield pd.DataFrame(rows, columns=["text", *outputs])
-
-    applied = keyed.join(spans, ["_doc", "_digest"], "left").withColumn("_out", apply(F.col(text), F.col("spans")))
-    return applied.select(
-        *[F.col("_out.text").alias(c) if c == text else F.col(f"`{c}`") for c in others], *[f"_out.{c}" for c in outputs]
-    )
+    def start():
+        def apply(whole, spans_here):
+            words = split_words(whole) if whole is not None else []
+            kept = words
+            if spans_here is not None:
+                gone = np.zeros(len(words) + 1, dtype=np.int64)
+                for s in spans_here:
+                    gone[s["first"]] += 1
+                    gone[s["first"] + s["n"]] -= 1
+                stays = (np.cumsum(gone[:-1]) == 0).tolist()
+                kept = [w for w, k in zip(words, stays, strict=True) if k]
+            joined = b" ".join(kept)
+            new = whole if len(kept) == len(words) else joined.decode()
+            return new, len(words), len(words) - len(kept), hashlib.sha256(joined).hexdigest()
+
+        return apply, lambda: None
+
+    marked = keyed.join(spans, ["_doc", "_digest"], "left").withColumnRenamed("spans", "_spans")
+    kinds = {text: T.StringType(), "n_words": T.LongType(), "n_removed": T.LongType(), "kept_sha256": T.StringType()}
+    applied = add_columns(marked, [text, "_spans"], kinds, start, drop=("_doc", "_digest", "_spans"))
+    return applied.select(*[F.col(f"`{c}`") for c in others], *outputs)

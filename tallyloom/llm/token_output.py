@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.byte_level import pack_ids
-from tallyloom.llm.common import shared_bytes, text_or_empty
+from tallyloom.llm.common import let_go, shared_bytes, text_or_empty
 from tallyloom.llm.pieces import cut_points, id_encoder
 from tallyloom.llm.slots import BinGroup
 
@@ -175,6 +175,7 @@ def packed_sequences(
                     if len(pieces) == block_pieces:
                         yield from close()
         yield from close()
+        let_go(own.clear)
 
     source = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     return source.mapInArrow(pack, _SCHEMA)
