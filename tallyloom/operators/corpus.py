@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from tallyloom.session import materialize
 
-# A side of a join up to this many rows is sent to every task; see ``_small``.
-# The rows are two short words and a number, so the limit is about 150 MB.
+# A side of a join up to this many rows and bytes of text is sent to every task; see ``_small``.
 BROADCAST_ROWS = 1_500_000
+BROADCAST_BYTES = 100_000_000
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
+def _small(df: DataFrame, rows: int, text_bytes: int) -> DataFrame:
     """Mark a side for broadcasting if its counted size allows it, else leave it to Catalyst."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and text_bytes <= BROADCAST_BYTES else df
 
 
 def trigrams(text: Column) -> Column:
@@ -27,24 +27,22 @@ def trigrams(text: Column) -> Column:
     return F.regexp_extract_all(framed, F.lit("(?=(.[^ ].))"), F.lit(1))
 
 
-def language_model(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """Each trigram with its log share in every language, from all trigrams of the texts with a known ``lang``.
+def language_model(docs: DataFrame, text: str, lang: str) -> tuple[list[str], DataFrame]:
+    """The languages, and each trigram with its log share in every one of them (``share_0``, ...).
 
-    A trigram that a language lacks counts as seen once more than never.
+    Learnt from all trigrams of the texts with a known ``lang``. Every trigram
+    counts as seen once more than it was, so none is impossible.
     """
     grams = docs.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("l"), F.explode(trigrams(F.col(text))).alias("gram"))
     counts = materialize(grams.groupBy("l", "gram").agg(F.count("*").alias("n")), "trigrams")
     kinds = counts.agg(F.count_distinct("gram")).first()[0]
     totals = {r["l"]: r["n"] for r in counts.groupBy("l").agg(F.sum("n").alias("n")).collect()}  # a row per language
-    by_language = counts.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("l", "n"))).alias("seen"))
+    languages = sorted(totals)
     shares = [
-        F.struct(
-            F.lit(l).alias("guess"),
-            F.log((F.coalesce(F.element_at("seen", F.lit(l)), F.lit(0)) + 1) / F.lit(float(n + kinds))).alias("share"),
-        )
-        for l, n in sorted(totals.items())
+        F.log((F.sum(F.when(F.col("l") == l, F.col("n")).otherwise(0)) + 1) / F.lit(float(totals[l] + kinds))).alias(f"share_{k}")
+        for k, l in enumerate(languages)
     ]
-    return by_language.select("gram", F.array(*shares).alias("shares") if shares else F.array().alias("shares"))
+    return languages, counts.groupBy("gram").agg(F.count("*").alias("in_languages"), *shares)
 
 
 def guess_language(docs: DataFrame, doc_id: str, text: str, lang: str, learn: Column | None = None) -> DataFrame:
@@ -52,19 +50,19 @@ def guess_language(docs: DataFrame, doc_id: str, text: str, lang: str, learn: Co
 
     Learns from the texts with a known ``lang`` for which ``learn`` holds (all by
     default). Adds ``guess``, null for a text without a known trigram. Trigrams
-    are scored where the text is read; what travels is one sum per text and language.
+    are scored where the text is read; what travels is one row of sums per text.
     """
     taught = docs if learn is None else docs.filter(learn)
-    model = materialize(language_model(taught, text, lang), "languages")
-    known = _small(model, model.count() * (1 + (model.select(F.size("shares")).first() or [0])[0]))
+    languages, model = language_model(taught, text, lang)
+    if not languages:
+        return docs.select(doc_id, lang).withColumn("guess", F.lit(None).cast("string"))
+    model = materialize(model, "languages")
+    rows = model.count()
+    known = _small(model, rows * len(languages), rows * 8 * (2 + len(languages)))
     grams = docs.select(doc_id, F.explode(trigrams(F.col(text))).alias("gram"))
-    scored = (
-        grams.join(known, "gram")
-        .select(doc_id, F.inline("shares"))
-        .groupBy(doc_id, "guess")
-        .agg(F.round(F.sum("share"), 6).alias("score"))
-    )
-    best = scored.groupBy(doc_id).agg(F.min_by("guess", F.struct((-F.col("score")).alias("less"), "guess")).alias("guess"))
+    sums = grams.join(known, "gram").groupBy(doc_id).agg(*[F.sum(f"share_{k}").alias(f"share_{k}") for k in range(len(languages))])
+    scores = [F.struct((-F.round(f"share_{k}", 6)).alias("less"), F.lit(l).alias("guess")) for k, l in enumerate(languages)]
+    best = sums.select(doc_id, F.array_min(F.array(*scores))["guess"].alias("guess"))
     return docs.select(doc_id, lang).join(best, doc_id, "left")
 
 
@@ -87,16 +85,61 @@ def _one_shorter(word: Column) -> Column:
     return F.when(F.length(word) > 0, cut).otherwise(F.array().cast("array<string>"))
 
 
-def deletion_keys(word: Column, prefix: int = 10) -> Column:
-    """The start of a word with up to two letters left out.
+def deletion_keys(word: Column) -> Column:
+    """A word with up to two of its letters left out. Words two edits apart or less share such a key,
+    a swap of neighbours costing each of them one letter."""
+    once = _one_shorter(word)
+    return F.array_distinct(F.concat(F.array(word), once, F.flatten(F.transform(once, _one_shorter))))
 
-    Words at most two edits apart share such a key: of two equally long starts
-    of theirs, no more than two letters each lie outside the common part. Long
-    words would give keys by the hundred, so only the start is used.
-    """
-    start = F.substring(word, 1, prefix)
-    once = _one_shorter(start)
-    return F.array_distinct(F.concat(F.array(start), once, F.flatten(F.transform(once, _one_shorter))))
+
+# Words up to this length meet in deletion keys; where one of a pair is longer, they meet in segments.
+_SHORT = 10
+_SEGMENTS = 5
+
+
+def _bound(length: Column, k: int | Column) -> Column:
+    return F.floor(length * k / _SEGMENTS).cast("int")
+
+
+def _segment_key(length: Column, k: Column, segment: Column) -> Column:
+    return F.concat_ws("|", length, k, segment)
+
+
+def segment_keys(word: Column) -> Column:
+    """The five segments of a word, with its length and their place. Two edits touch four of them at most."""
+    n = F.length(word)
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(_SEGMENTS - 1)),
+        lambda k: _segment_key(n, k, F.substr(word, _bound(n, k) + 1, _bound(n, k + 1) - _bound(n, k))),
+    )
+
+
+def segment_probes(word: Column) -> Column:
+    """What could be an untouched segment of a word two edits away: up to two letters longer or shorter,
+    and the segment up to two places off."""
+    n = F.length(word)
+    near = [F.lit(d) for d in (-2, -1, 0, 1, 2)]
+
+    def places(length: Column, k: Column) -> Column:
+        width = _bound(length, k + 1) - _bound(length, k)
+        starts = F.filter(
+            F.transform(F.array(*near), lambda d: _bound(length, k) + d), lambda at: (at >= 0) & (at + width <= n)
+        )
+        return F.transform(starts, lambda at: _segment_key(length, k, F.substr(word, at + 1, width)))
+
+    lengths = F.transform(F.array(*near), lambda d: n + d)
+    segments = F.sequence(F.lit(0), F.lit(_SEGMENTS - 1))
+    found = F.transform(lengths, lambda length: F.flatten(F.transform(segments, lambda k: places(length, k))))
+    return F.array_distinct(F.flatten(found))
+
+
+def _with_keys(words: DataFrame, word: str, long_keys) -> DataFrame:
+    w = F.col(word)
+    none = F.array().cast("array<string>")
+    short = F.when(F.length(w) <= _SHORT, deletion_keys(w)).otherwise(none)
+    # a word of nine letters can be near one of eleven
+    long = F.when(F.length(w) >= _SHORT - 1, long_keys(w)).otherwise(none)
+    return words.withColumn("key", F.explode(F.concat(short, long)))
 
 
 def _adjacent_swap(a: Column, b: Column) -> Column:
@@ -134,10 +177,21 @@ def correct_words(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
     known = vocabulary.select(F.col("word").alias("candidate"), "n")
     unknown = words.join(vocabulary.select("word"), "word", "left_anti")
     unknown = _spread(unknown, F.xxhash64("word"))
-    wrong = unknown.select("word", F.explode(deletion_keys(F.col("word"))).alias("key"))
-    right = known.select("candidate", "n", F.explode(deletion_keys(F.col("candidate"))).alias("key"))
-    right = _small(right, vocabulary.count() * 56)  # 1 + 10 + 45 keys at most
-
+    wrong = _with_keys(unknown, "word", segment_probes)
+    keyed = _with_keys(known, "candidate", segment_keys)
+    # all words of one or two letters share the empty key; those with a common letter share another one
+    # too, and of the others only the first choice of either length can win
+    order = F.struct((-F.col("n")).alias("less"), "candidate")
+    shortest = (
+        known.filter(F.length("candidate") <= 2)
+        .groupBy(F.length("candidate"))
+        .agg(F.min_by(F.struct("candidate", "n"), order).alias("best"))
+        .select("best.candidate", "best.n", F.lit("").alias("key"))
+    )
+    right = keyed.filter("key <> ''").unionByName(shortest)
+    size = vocabulary.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("word")), F.lit(0)).alias("bytes")).first()
+    # 1 + 10 + 45 deletion keys and 5 segments at most
+    right = _small(right, size["rows"] * 61, size["bytes"] * 61 * 2)
     w, c = F.col("word"), F.col("candidate")
     plain = F.levenshtein(w, c, 4)  # a swap of neighbours is two plain edits
     swapped = _swap_and_edit(w, c) | _swap_and_edit(c, w)

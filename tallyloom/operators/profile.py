@@ -56,9 +56,11 @@ def repeated_rows(df: DataFrame, row_id: str, subset: Sequence[str]) -> DataFram
 
     First occurrences come from a map-side combined minimum; the rest are found
     with an anti join on the unique id, so a value shared by a third of the
-    table never meets in one task.
+    table never meets in one task. Only a 256-bit digest of the values is grouped
+    and shuffled, however long they are.
     """
-    firsts = df.groupBy(*subset).agg(F.min(row_id).alias(row_id)).select(row_id)
+    values = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in subset]), {"ignoreNullFields": "false"})
+    firsts = df.groupBy(F.sha2(values, 256)).agg(F.min(row_id).alias(row_id)).select(row_id)
     return df.join(firsts, row_id, "left_anti")
 
 

@@ -28,6 +28,7 @@ def quantiles(
     names: Sequence[str],
     window_rows: int = BUFFER_ROWS,
     broadcast_groups: int = BROADCAST_GROUPS,
+    extent: tuple[int, int] | None = None,
 ) -> DataFrame:
     """One row per group with linearly interpolated quantiles of the non-null values.
 
@@ -35,11 +36,12 @@ def quantiles(
     buffer, so it serves small groups only. Big groups, if they are few, are
     narrowed down: a sketch brackets each quantile, and only the values between
     the brackets are shuffled and ranked. Many groups of which some are big are
-    ranked as a whole. All three give the same, exact answer.
+    ranked as a whole. All three give the same, exact answer. ``extent`` (rows of
+    the biggest group, number of groups) is measured if it is not known yet.
     """
     keys = list(keys)
     present = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    biggest, groups = group_extent(present, keys)
+    biggest, groups = extent or group_extent(present, keys)
     if biggest <= window_rows:
         found = present.groupBy(*keys).agg(
             F.percentile("_v", F.array(*[F.lit(float(p)) for p in probabilities])).alias("_q")
@@ -132,21 +134,33 @@ def _with_group(rows: DataFrame, per_group: DataFrame, keys: list[str]) -> DataF
 
 
 def describe(df: DataFrame, columns: Sequence[str], window_rows: int = BUFFER_ROWS) -> DataFrame:
-    """count, mean, sample deviation, min, quartiles and max, one row per numeric column."""
-    long = df.select([F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "column", "value"
-    )
-    stats = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quartiles = quantiles(long, ["column"], "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], window_rows)
-    return stats.join(quartiles, "column", "left").select(
-        "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
+    """count, mean, sample deviation, min, quartiles and max, one row per numeric column.
+
+    One wide aggregate over the table; quartiles of a long table, which need
+    more than one buffer, are worked out apart.
+    """
+    wide = df.select([F.col(c).cast("double").alias(c) for c in columns])
+    names = ("count", "mean", "std", "min", "max")
+    measures = (F.count, F.avg, F.stddev_samp, F.min, F.max)
+    short = df.count() <= window_rows  # from the files' footers alone
+    quartiles = F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)])
+    every = wide.agg(
+        *[
+            F.struct(
+                *[f(c).alias(n) for f, n in zip(measures, names, strict=True)],
+                *([F.percentile(c, quartiles).alias("q")] if short else []),
+            ).alias(c)
+            for c in columns
+        ]
     )
+    stats = every.unpivot([], list(columns), "column", "s").select("column", "s.*")
+    if short:
+        found = stats.select("*", *[F.col("q")[i].alias(n) for i, n in enumerate(("q25", "q50", "q75"))])
+    else:
+        long = wide.unpivot([], list(columns), "column", "value")
+        apart = quantiles(long, ["column"], "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], window_rows)
+        found = stats.join(apart, "column", "left")
+    return found.select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def box_stats(
@@ -155,8 +169,9 @@ def box_stats(
     """Quartiles, whiskers inside 1.5 IQR and the number of outliers per group."""
     keys = list(keys)
     present = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
-    quartiles = quantiles(present, keys, "_v", [0.25, 0.5, 0.75], ["q1", "median", "q3"], window_rows)
-    if group_extent(present, keys)[1] <= BROADCAST_GROUPS:
+    extent = group_extent(present, keys)
+    quartiles = quantiles(present, keys, "_v", [0.25, 0.5, 0.75], ["q1", "median", "q3"], window_rows, extent=extent)
+    if extent[1] <= BROADCAST_GROUPS:
         rows, n = present.join(F.broadcast(quartiles), keys), F.lit(1)
     else:
         # fold repeated values before the shuffle of the join

@@ -154,6 +154,51 @@ def ranges(t: Tables):
     )
 
 
+_ROW_FREQUENCIES = {
+    "W-THU": "isodow(d) = 4", "M": "d = last_day(d)", "MS": "day(d) = 1", "A": "month(d) = 12 AND day(d) = 31",
+    "AS": "month(d) = 1 AND day(d) = 1", "2D": "(d - a) % 2 = 0 AND d < a + 15", "B": "isodow(d) < 6 AND d < a + 15",
+}
+
+
+@query(
+    "dat_range_rows",
+    """WITH s AS (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b FROM orders GROUP BY 1),
+            e AS (SELECT o_custkey, a, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS d FROM s)
+       """
+    + " UNION ALL ".join(
+        f"SELECT o_custkey, '{f}' AS frequency, d AS day FROM e WHERE {holds}" for f, holds in _ROW_FREQUENCIES.items()
+    ),
+)
+def range_rows(t: Tables):
+    spans = t.orders.groupBy("o_custkey").agg(
+        F.to_date(F.min("o_orderdate")).alias("a"), F.to_date(F.max("o_orderdate")).alias("b")
+    )
+    soon = F.least("b", F.date_add("a", 14))
+    listed = [
+        F.struct(F.lit(f).alias("frequency"), dates.date_range(F.col("a"), soon if f in ("2D", "B") else F.col("b"), f).alias("days"))
+        for f in _ROW_FREQUENCIES
+    ]
+    each = spans.select("o_custkey", F.inline(F.array(*listed)))
+    return each.select("o_custkey", "frequency", F.explode("days").alias("day"))
+
+
+@query(
+    "dat_periods",
+    """SELECT o_orderkey, 'on' AS direction, CAST(d + CAST(i AS INTEGER) AS DATE) AS day
+       FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders), range(0, 4) AS r(i)
+       UNION ALL SELECT o_orderkey, 'back', CAST(d - CAST(i AS INTEGER) AS DATE)
+       FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders), range(0, 3) AS r(i)""",
+)
+def periods(t: Tables):
+    d = F.to_date("o_orderdate")
+    listed = F.array(
+        F.struct(F.lit("on").alias("direction"), dates.date_periods(d, 4).alias("days")),
+        F.struct(F.lit("back").alias("direction"), dates.date_periods(d, 3, True).alias("days")),
+    )
+    each = t.orders.select("o_orderkey", F.inline(listed))
+    return each.select("o_orderkey", "direction", F.explode("days").alias("day"))
+
+
 @query(
     "dat_range_hours",
     """WITH s AS (SELECT user_id, min(ts) AS a, max(ts) AS b FROM events GROUP BY 1)

@@ -93,9 +93,10 @@ _PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 @query(
     "prj_order_cols_by_row",
-    "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, "
-    + ", ".join(f"""round(sum(o_totalprice) FILTER (o_orderpriority = '{p}'), 2) AS "{p}\"""" for p in _PRIORITIES)
-    + " FROM orders GROUP BY 1",
+    # the order of columns, as rows, because a comparison by name could not see it
+    """WITH s AS (SELECT o_orderpriority AS "column", sum(o_totalprice) AS v FROM orders WHERE year(o_orderdate) = 1997 GROUP BY 1)
+       SELECT 0 AS place, 'year' AS "column" UNION ALL
+       SELECT CAST(row_number() OVER (ORDER BY v) AS INTEGER), "column" FROM s""",
 )
 def ordered_columns(t: Tables):
     by_year = (
@@ -103,7 +104,9 @@ def ordered_columns(t: Tables):
         .pivot("o_orderpriority", _PRIORITIES)
         .agg(F.round(F.sum("o_totalprice"), 2))
     )
-    return clean.columns_by_row(by_year, F.col("year") == 1997, _PRIORITIES)
+    ordered = clean.columns_by_row(by_year, F.col("year") == 1997, _PRIORITIES)
+    names = F.array(*[F.lit(c) for c in ordered.columns])
+    return ordered.limit(1).select(F.posexplode(names).alias("place", "column"))
 
 
 @query(

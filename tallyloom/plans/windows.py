@@ -18,10 +18,11 @@ from tallyloom.plans.registry import Tables, query
 )
 def rolling(t: Tables):
     daily = t.events.groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count("*").alias("n"))
-    # the grid of a pivot filled with 0: every tag on every day that occurs; a
-    # calendar's days fit in one array, which is exploded per tag
-    days = daily.agg(F.collect_set("day")).scalar()
-    grid = daily.select("event_type").distinct().select("event_type", F.explode(days).alias("day"))
+    # the grid of a pivot filled with 0: every tag on every day that occurs, from
+    # the calendar between the first and the last one
+    first, last = daily.agg(F.min("day")).scalar(), daily.agg(F.max("day")).scalar()
+    calendar = daily.select("event_type").distinct().select("event_type", F.explode(F.sequence(first, last)).alias("day"))
+    grid = calendar.join(daily.select("day").distinct(), "day", "left_semi")
     posts = grid.join(daily, ["event_type", "day"], "left").select(
         "day", "event_type", F.coalesce("n", F.lit(0)).alias("posts")
     )
