@@ -206,7 +206,10 @@ def price_histogram(t: Tables):
        FROM f GROUP BY l_returnflag""",
 )
 def box_plot(t: Tables):
-    b = box_stats(t.lineitem.select("l_returnflag", "l_extendedprice"), ["l_returnflag"], "l_extendedprice")
+    return _rounded_box(box_stats(t.lineitem.select("l_returnflag", "l_extendedprice"), ["l_returnflag"], "l_extendedprice"))
+
+
+def _rounded_box(b):
     return b.select(
         "l_returnflag",
         *[F.round(c, 6).alias(c) for c in ("q1", "median", "q3")],
@@ -216,6 +219,24 @@ def box_plot(t: Tables):
     )
 
 
+@query(
+    "agg_box_spread",
+    """WITH v AS (SELECT l_returnflag, CASE WHEN l_linenumber <> 2 THEN l_extendedprice END AS v FROM lineitem),
+            q AS (SELECT l_returnflag, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
+                         quantile_cont(v, 0.75) AS q3 FROM v GROUP BY 1),
+            f AS (SELECT v.l_returnflag, q1, median, q3, v, v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside
+                  FROM v JOIN q ON v.l_returnflag = q.l_returnflag WHERE v IS NOT NULL)
+       SELECT l_returnflag, round(any_value(q1), 6) AS q1, round(any_value(median), 6) AS median,
+              round(any_value(q3), 6) AS q3, min(v) FILTER (inside) AS whisker_low,
+              max(v) FILTER (inside) AS whisker_high, count(*) FILTER (NOT inside) AS outliers
+       FROM f GROUP BY l_returnflag""",
+)
+def box_plot_spread(t: Tables):
+    # with gaps, and with groups far larger than one buffer is given
+    value = F.when(F.col("l_linenumber") != 2, F.col("l_extendedprice")).alias("v")
+    return _rounded_box(box_stats(t.lineitem.select("l_returnflag", value), ["l_returnflag"], "v", window_rows=500))
+
+
 @query(
     "agg_ols",
     """SELECT l_returnflag, round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,

@@ -45,11 +45,29 @@ _DESCRIBED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     ),
 )
 def described(t: Tables):
-    d = describe(t.lineitem, _DESCRIBED)
+    return _rounded(describe(t.lineitem, _DESCRIBED))
+
+
+def _rounded(d):
     rounded = [F.round(c, 6).alias(c) for c in ("mean", "std", "q25", "q50", "q75")]
     return d.select("column", "count", "min", "max", *rounded)
 
 
+@query(
+    "prf_describe_spread",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(v) AS "count", round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std, min(v) AS min,
+            round(quantile_cont(v, 0.25), 6) AS q25, round(quantile_cont(v, 0.5), 6) AS q50, round(quantile_cont(v, 0.75), 6) AS q75,
+            max(v) AS max FROM (SELECT CASE WHEN l_linenumber <> 2 THEN {c} END AS v FROM lineitem)"""
+        for c in _DESCRIBED
+    ),
+)
+def described_spread(t: Tables):
+    # with gaps, and with a table far longer than one buffer is given
+    gaps = t.lineitem.select(*[F.when(F.col("l_linenumber") != 2, F.col(c)).alias(c) for c in _DESCRIBED])
+    return _rounded(describe(gaps, _DESCRIBED, window_rows=500))
+
+
 def _orders_with_gaps(t: Tables):
     return t.orders.select(
         "o_orderkey",
