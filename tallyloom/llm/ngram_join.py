@@ -48,7 +48,7 @@ from tallyloom.llm.groups import components, connected, in_blocks, per_group
 from tallyloom.llm.substring_dedup import _BASES, _mix, _word_hashes, range_hashes, split_words, word_hashes
 
 #: Rows of a trie node, and of a class, that make a block.
-NODE_ROWS, CLASS_ROWS = 2_000, 500
+NODE_ROWS, CLASS_ROWS = 400, 250
 #: Columns of shingles that are multiplied at a time.
 _COLUMNS = 8_192
 _SEED = 20_240

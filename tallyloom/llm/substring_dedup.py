@@ -6,8 +6,8 @@ of the whole corpus would cost the square of it, so documents are first brought
 together with the parts of the corpus that they can share a window with:
 
 1. Each window picks its anchor, the ``anchor`` words in it with the smallest
-   hash (the leftmost of equals). Equal windows pick equal anchors, whatever
-   surrounds them. The windows of one anchor's place are one stretch of text.
+   hash. Equal windows pick equal anchors, whatever surrounds them. Windows that
+   follow each other with one anchor are one stretch of text.
 2. Stretches with an anchor that another document has too are kept, and equal
    stretches counted as one with its smallest id (in the map tasks first, so a
    passage in a third of all documents is no hot key).
@@ -119,11 +119,16 @@ def stretches(hashes: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray,
     grams = np.arange(n - anchor + 1)
     keys = _mix(range_hashes(hashes, _BASES[0], grams, grams + anchor))
     span = window - anchor + 1
-    picks = np.lib.stride_tricks.sliding_window_view(keys, span).argmin(axis=1) + np.arange(n - window + 1)
-    first = np.flatnonzero(np.r_[True, picks[1:] != picks[:-1]])
-    last = np.r_[first[1:], len(picks)] - 1
+    least = np.lib.stride_tricks.sliding_window_view(keys, span).min(axis=1)
+    # windows that follow each other with one anchor are a stretch; where a text repeats itself the anchor
+    # comes again and again, and the stretch is cut when the first of them has left the window
+    at = np.arange(len(least))
+    changed = np.r_[True, least[1:] != least[:-1]]
+    begun = np.maximum.accumulate(np.where(changed, at, 0))
+    first = np.flatnonzero((at - begun) % span == 0)
+    last = np.r_[first[1:], len(least)] - 1
     end = last + window
-    return keys[picks[first]], *(_mix(range_hashes(hashes, b, first, end)) for b in _BASES), first, end - first
+    return least[first], *(_mix(range_hashes(hashes, b, first, end)) for b in _BASES), first, end - first
 
 
 class SuffixAutomaton:
@@ -283,8 +288,10 @@ def _read_shards(pieces: DataFrame, shards: int, window: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, window: int, anchor: int, shard_words: int) -> DataFrame:
     """Per document (doc, digest) the spans (first, n) that are windows of a smaller document."""
     places = materialize(_places(docs, window, anchor), "places")
-    common = (
-        places.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter(F.col("lo") < F.col("hi")).select("h")
+    # written, so that the join below reads both sides from their own exchange and can split a hot anchor
+    common = materialize(
+        places.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter(F.col("lo") < F.col("hi")).select("h"),
+        "anchors",
     )
     shared = materialize(places.join(common, "h", "left_semi"), "shared")
     distinct = materialize(_distinct(shared), "stretches")

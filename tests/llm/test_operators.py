@@ -243,6 +243,14 @@ def test_passages(edges, spark, nothing):
     assert lost == [(0, 0), (1, 0), (1, 0), (1, 0), (2, 300)]
 
 
+def test_passages_of_texts_that_repeat_themselves(spark):
+    rows = [(i, " ".join(["lorem"] * (40 + 37 * i))) for i in range(5)]
+    rows += [(10 + i, prose(i, 20) + " " + "a b c " * (30 + 11 * i) + prose(20 + i, 20)) for i in range(5)]
+    out = substring_dedup.remove_repeats(spark.createDataFrame(rows, SCHEMA)).collect()
+    got = sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in out)
+    assert got == sorted((d, n, g, brute.sha(k)) for d, n, g, k in brute.passages(rows))
+
+
 @pytest.mark.parametrize("shard_words", [60_000, 150])
 def test_passages_with_many_contexts_of_one_anchor(spark, shard_words):
     own, passage = random.Random(9), prose(7, 70).split()
