@@ -12,8 +12,8 @@ few that are not full.
 
 The output has a row per sequence: the ids as one row of a matrix (little-endian
 unsigned 32-bit, padded to the capacity), the cumulative segment lengths from 0
-to the number of tokens, and the positions, which begin at 0 again with each
-segment.
+to the number of tokens, and the places where positions begin at 0 again;
+``position_ids`` spells the positions out.
 
 Defined results: a null or empty text is the end token alone; repeated rows are
 packed one by one; an empty table gives an empty one; extra columns are not read.
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.byte_level import pack_ids
@@ -106,7 +106,7 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> list[BinGroup]
 _FIELDS = {
     "sequence_id": ("long", pa.int64()), "n_tokens": ("int", pa.int32()), "doc_ids": ("array<long>", pa.list_(pa.int64())),
     "pieces": ("array<int>", pa.list_(pa.int32())), "cu_seqlens": ("array<int>", pa.list_(pa.int32())),
-    "position_ids": ("array<int>", pa.list_(pa.int32())), "input_ids": ("binary", pa.binary()),
+    "position_resets": ("array<int>", pa.list_(pa.int32())), "input_ids": ("binary", pa.binary()),
 }
 _SCHEMA = ", ".join(f"{c} {kind}" for c, (kind, _) in _FIELDS.items())
 _ARROW = pa.schema([(c, kind) for c, (_, kind) in _FIELDS.items()])
@@ -127,7 +127,7 @@ def packed_sequences(
     capacity: int = 1024,
     block_pieces: int = 16_384,
 ) -> DataFrame:
-    """A row per sequence: sequence_id, n_tokens, doc_ids, pieces, cu_seqlens, position_ids, input_ids."""
+    """A row per sequence: sequence_id, n_tokens, doc_ids, pieces, cu_seqlens, position_resets, input_ids."""
     content = shared_bytes(docs.sparkSession, tokenizer_path)
     end, pad = pack_ids([end_id]), pack_ids([pad_id])
 
@@ -142,12 +142,11 @@ def packed_sequences(
 
     def row(number: int, members: list[tuple[int, int, bytes]]) -> tuple:
         lengths = [len(ids) // 4 for _, _, ids in members]
-        bounds = np.concatenate([[0], np.cumsum(lengths)])
-        positions = np.arange(bounds[-1]) - np.repeat(bounds[:-1], lengths)
+        bounds = np.cumsum([0, *lengths], dtype=np.int32)
         ids = b"".join(ids for _, _, ids in members)
         return (
             number, int(bounds[-1]), [d for d, _, _ in members], [k for _, k, _ in members],
-            bounds, positions, ids + pad * (capacity - int(bounds[-1])),
+            bounds, bounds[:-1], ids + pad * (capacity - int(bounds[-1])),
         )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,6 +185,14 @@ def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW, strict=True)], schema=_ARROW)
 
 
+def position_ids(cu_seqlens: Column) -> Column:
+    """0, 1, 2... for each segment."""
+    lengths = F.transform(
+        F.slice(cu_seqlens, 2, F.size(cu_seqlens) - 1), lambda end, k: end - F.get(cu_seqlens, k)
+    )
+    return F.flatten(F.transform(lengths, lambda n: F.sequence(F.lit(0), n - 1)))
+
+
 def write_packed(sequences: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
-    """Write the matrices: fixed-width id rows, cumulative lengths and positions, side by side."""
+    """Write the matrices: fixed-width id rows, cumulative lengths and position resets, side by side."""
     sequences.write.option("maxRecordsPerFile", rows_per_file).parquet(path)

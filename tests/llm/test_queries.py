@@ -12,6 +12,8 @@ import tiktoken
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+from tallyloom.llm import token_output
 from tallyloom.llm.queries import QUERIES, SQL
 from tests.llm import brute
 from tests.oracle import compare, connect
@@ -78,9 +80,11 @@ def test_substring_dedup(spark, docs):
 
 def test_packed_ids(spark, docs, ids):
     got, pieces = collections.defaultdict(dict), 0
-    for r in QUERIES["op8_packed_ids"](spark, ROOT).collect():
+    packed = QUERIES["op8_packed_ids"](spark, ROOT).withColumn("position_ids", token_output.position_ids(F.col("cu_seqlens")))
+    for r in packed.collect():
         row, bounds = np.frombuffer(r["input_ids"], "<u4"), r["cu_seqlens"]
         assert len(row) == 1024 and bounds[0] == 0 and bounds[-1] == r["n_tokens"]
+        assert r["position_resets"] == bounds[:-1]
         assert r["position_ids"] == [k for a, b in zip(bounds, bounds[1:]) for k in range(b - a)]
         for d, p, a, b in zip(r["doc_ids"], r["pieces"], bounds, bounds[1:], strict=False):
             got[d][p] = row[a:b].tolist()
