@@ -46,9 +46,6 @@ class IdEncoder:
 
         self.plain = ByteLevelEncoder(pattern, encode)
 
-    def clear(self) -> None:
-        self.plain.clear()
-
     def __call__(self, text: str) -> bytes:
         if any(a in text for a in self.added):
             return pack_ids(self.whole.encode(text, add_special_tokens=False).ids)
@@ -93,7 +90,7 @@ def token_pieces(
                 if len(rows) >= _ROWS_AT_ONCE:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], schema=arrow)
                     rows = []
-        let_go(own.clear)
+        let_go()
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], schema=arrow)
 

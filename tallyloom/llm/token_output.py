@@ -174,7 +174,7 @@ def packed_sequences(
                     if len(pieces) == block_pieces:
                         yield from close()
         yield from close()
-        let_go(own.clear)
+        let_go()
 
     source = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     return source.mapInArrow(pack, _SCHEMA)
