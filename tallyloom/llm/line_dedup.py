@@ -15,6 +15,10 @@ first ``min_lines`` lines of every other one are a later copy. Copies that
 follow each other line by line make up one maximal repeated run. The last of
 the rounds may overlap (three lines are lines 1-2 and 2-3).
 
+With ``min_words``, a repeated run of fewer lines is a copy too if it has that many
+words. The doubling then steps through every depth up to ``min_lines``; each depth's
+later copies with enough words are taken from its ranks and united with the others.
+
 Only lines with a word are compared, by 128 bits of hash; a blank line goes with
 the line before it, and blank lines at the start stay. A document that loses
 nothing keeps its text as it is.
@@ -28,10 +32,13 @@ named like an output are replaced.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import materialize
+from tallyloom.llm.common import materialize, words_of
 
 _DOC = ["_id", "_digest"]
 #: A line break with the blank lines that follow it.
@@ -46,12 +53,13 @@ def _keys(id_column: str, text: str) -> list[Column]:
     ]
 
 
-def line_ids(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    """A row per line with a word: document, number of the line, and its id in two halves."""
+def line_ids(docs: DataFrame, id_column: str, text: str, words: bool = False) -> DataFrame:
+    """A row per line with a word: document, number of the line, its id in two halves and, if asked for, its words."""
     lines = docs.select(*_keys(id_column, text), F.posexplode(F.split(F.col(text), _BREAK, -1)).alias("at", "line"))
     return lines.filter(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select(
-        *_DOC, "at", F.xxhash64("line").alias("a"), F.xxhash64(F.lit("2"), F.col("line")).alias("b")
-    )
+        *_DOC, "at", F.xxhash64("line").alias("a"), F.xxhash64(F.lit("2"), F.col("line")).alias("b"),
+        *([F.size(words_of(F.col("line"))).alias("words")] if words else []),
+    )
 
 
 def _ranked(pairs: DataFrame) -> DataFrame:
@@ -63,7 +71,7 @@ def _ranked(pairs: DataFrame) -> DataFrame:
         "ranks",
     )
     same = (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b"))
-    return pairs.join(ranks, same).select(*_DOC, "at", "rank")
+    return pairs.join(ranks, same).select(*_DOC, "at", "rank", *[c for c in pairs.columns if c == "words"])
 
 
 def _pairs(ranked: DataFrame, shift: int) -> DataFrame:
@@ -82,24 +90,60 @@ def suffix_ranks(lines: DataFrame, depth: int) -> DataFrame:
     return ranked
 
 
-def later_copies(ranked: DataFrame, depth: int) -> DataFrame:
-    """The numbers of all lines of each document that a run of ``depth`` lines or more repeats from before."""
+def ranks_by_depth(lines: DataFrame, depth: int) -> Iterator[tuple[int, DataFrame]]:
+    """The ranks of every depth from 1 to ``depth``, with the words of the run that begins at each place."""
+    ranked = materialize(_ranked(lines).dropDuplicates([*_DOC, "at"]), "suffixes")  # rows that are one document
+    own = ranked.select(*_DOC, "at", "words")
+    yield 1, ranked
+    for d in range(2, depth + 1):
+        last = own.select(*_DOC, (F.col("at") - (d - 1)).alias("at"), F.col("words").alias("_last"))
+        pairs = _pairs(ranked.drop("words"), 1).join(ranked.select(*_DOC, "at", "words"), [*_DOC, "at"])
+        pairs = pairs.join(last, [*_DOC, "at"]).withColumn("words", F.col("words") + F.col("_last")).drop("_last")
+        ranked = materialize(_ranked(pairs), "suffixes")
+        yield d, ranked
+
+
+def copies_of(ranked: DataFrame, depth: int) -> DataFrame:
+    """Document and line where each later copy of a run of ``depth`` lines begins, and where it ends."""
     place = F.struct(*_DOC, "at")
     first = ranked.groupBy("rank").agg(F.min(place).alias("_first")).withColumnRenamed("rank", "_rank")
     copies = ranked.join(first, F.col("rank") == F.col("_rank")).filter(place > F.col("_first"))
+    return copies.select(*_DOC, "at", (F.col("at") + depth - 1).alias("end"))
+
+
+def removed_lines(copies: DataFrame) -> DataFrame:
+    """The numbers of all lines of each document that a copy covers."""
     return copies.groupBy(*_DOC).agg(
-        F.sort_array(
-            F.array_distinct(F.flatten(F.collect_list(F.sequence(F.col("at"), F.col("at") + depth - 1))))
-        ).alias("_removed")
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list(F.sequence("at", "end"))))).alias("_removed")
     )
 
 
-def drop_repeated_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_lines: int = 3) -> DataFrame:
-    """``docs`` without the later copies of runs of ``min_lines`` lines or more, and with n_lines,
-    n_removed (lines with a word) and n_runs (maximal runs deleted)."""
+def later_copies(ranked: DataFrame, depth: int) -> DataFrame:
+    """The numbers of all lines of each document that a run of ``depth`` lines or more repeats from before."""
+    return removed_lines(copies_of(ranked, depth))
+
+
+def later_copies_by_words(lines: DataFrame, min_lines: int, min_words: int) -> DataFrame:
+    """The same for runs of ``min_lines`` lines or of ``min_words`` words, whichever is reached first."""
+    found = [
+        copies_of(ranked if depth == min_lines else ranked.filter(F.col("words") >= min_words), depth)
+        for depth, ranked in ranks_by_depth(lines, min_lines)
+    ]
+    return removed_lines(reduce(DataFrame.unionByName, found))
+
+
+def drop_repeated_lines(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_lines: int = 3, min_words: int | None = None
+) -> DataFrame:
+    """``docs`` without the later copies of runs of ``min_lines`` lines or more (or of ``min_words`` words or
+    more, if given, however few their lines), and with n_lines, n_removed (lines with a word) and n_runs
+    (maximal runs deleted)."""
     if min_lines < 1:
         raise ValueError("a run has at least one line")
-    removed = later_copies(suffix_ranks(line_ids(docs, id_column, text), min_lines), min_lines)
+    if min_words is None:
+        removed = later_copies(suffix_ranks(line_ids(docs, id_column, text), min_lines), min_lines)
+    else:
+        removed = later_copies_by_words(line_ids(docs, id_column, text, words=True), min_lines, min_words)
     others = [c for c in docs.columns if c not in ("n_lines", "n_removed", "n_runs")]
     keyed = docs.select(*[F.col(f"`{c}`") for c in others], *_keys(id_column, text))
     marked = keyed.join(removed, _DOC, "left")

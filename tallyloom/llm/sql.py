@@ -161,6 +161,34 @@ deduped AS (SELECT s.* REPLACE (r.new_text AS text), coalesce(r.n_lines, 0) AS n
             FROM {source} s LEFT JOIN rebuilt r ON s.doc_id IS NOT DISTINCT FROM r.doc_id AND s.text = r.text)"""
 
 
+def lines_by_words_sql(source: str, min_lines: int = 3, min_words: int = 10) -> str:
+    """``lines_sql`` with the later copies of shorter runs of ``min_words`` words or more deleted as well."""
+    whole = lines_sql(source, min_lines)
+    before, rest = whole.split("\nruns AS (", 1)
+    after = "\ngone_lists AS (" + rest.split("\ngone_lists AS (", 1)[1]
+    depths = range(1, min_lines + 1)
+    words = [" + ".join(f"lead(w, {k}) OVER follow" if k else "w" for k in range(d)) for d in depths]
+    run = ["[" + ", ".join(f"lead(line, {k}) OVER follow" if k else "line" for k in range(d)) + "]" for d in depths]
+    runs = " UNION ALL ".join(
+        f"""SELECT doc_id, text, pos, {d} AS depth, {w} AS run_words, {r} AS run
+      FROM (SELECT *, len(regexp_extract_all(line, '{_WORD}+')) AS w FROM lined)
+      WINDOW follow AS (PARTITION BY doc_id, text ORDER BY pos)"""
+        for d, w, r in zip(depths, words, run, strict=True)
+    )
+    return f"""{before}
+runs AS ({runs}),
+marked AS (SELECT doc_id, text, pos, depth, row_number() OVER (PARTITION BY run ORDER BY doc_id, text, pos) > 1 AS later
+           FROM runs WHERE run_words IS NOT NULL AND (depth = {min_lines} OR run_words >= {min_words})),
+gone AS (SELECT DISTINCT doc_id, text, unnest(generate_series(pos, pos + depth - 1)) AS pos FROM marked WHERE later),{after}"""
+
+
+def line_dedup_words_sql() -> str:
+    return (
+        f"WITH {lines_by_words_sql('documents')} SELECT doc_id, n_lines, n_removed, n_runs, "
+        "CASE WHEN text IS NULL THEN NULL ELSE sha256(text) END AS kept_sha256 FROM deduped"
+    )
+
+
 def line_dedup_sql() -> str:
     return (
         f"WITH {lines_sql('documents')} SELECT doc_id, n_lines, n_removed, n_runs, "
