@@ -5,7 +5,9 @@
    ``$``.
 2. *Variable segments.* Level by level below the already generalised prefix, a
    segment that holds less than one in ``RARE`` of its siblings' urls is a value,
-   not a branch, and becomes ``*``.
+   not a branch, and becomes ``*``, unless it has ``OWN`` urls or more or its share
+   of blocked differs from its siblings' beyond sampling error. So what a large
+   host adds elsewhere does not swallow a branch.
 3. *Similar branches.* The branches below one prefix are held against all of
    them together: by the distribution of what follows (total variation) and by
    the share of blocked among labelled urls. A branch within sampling error of
@@ -37,6 +39,8 @@ from tallyloom.llm.common import materialize
 
 DEPTH = 4
 RARE = 50
+#: Urls that make a segment a branch however many its siblings have.
+OWN = 50
 #: Urls that the priors count for.
 TEMPLATE_PRIOR, HOST_PRIOR = 5.0, 20.0
 
@@ -94,6 +98,12 @@ def shape(path: Column) -> Column:
     return F.concat(heads, more, F.array(F.lit("$")))
 
 
+def _same_share() -> Column:
+    """Whether blocked and allowed are within sampling error of all_blocked and all_allowed; so without labels."""
+    labelled, all_labelled = F.col("blocked") + F.col("allowed"), F.col("all_blocked") + F.col("all_allowed")
+    unlike = F.round(F.abs(F.col("blocked") / labelled - F.col("all_blocked") / all_labelled), 9)
+    return (labelled == 0) | (unlike <= F.greatest(F.lit(0.05), 1 / F.sqrt(F.greatest(labelled, F.lit(1)))))
+
 
 def templates(shapes: DataFrame) -> DataFrame:
     """``shapes`` (host, shape, n, blocked, allowed; one row each) with the ``template`` of each shape."""
@@ -101,11 +111,16 @@ def templates(shapes: DataFrame) -> DataFrame:
     for d in range(DEPTH + 1):
         child = F.get("shape", F.lit(d))
         inner = level.withColumn("child", child).filter(F.coalesce(child != "$", F.lit(False)))
-        children = inner.groupBy("host", "general", "child").agg(F.sum("n").alias("c"))
-        parents = inner.groupBy("host", "general").agg(F.sum("n").alias("p"))
+        children = inner.groupBy("host", "general", "child").agg(
+            F.sum("n").alias("c"), *[F.sum(x).alias(x) for x in ("blocked", "allowed")]
+        )
+        parents = inner.groupBy("host", "general").agg(
+            F.sum("n").alias("p"), *[F.sum(x).alias(f"all_{x}") for x in ("blocked", "allowed")]
+        )
         rare = (
-            children.join(parents, ["host", "general"])
-            .filter(F.col("c") * RARE < F.col("p"))
+            children.filter(F.col("c") < OWN)
+            .join(parents, ["host", "general"])
+            .filter((F.col("c") * RARE < F.col("p")) & _same_share())
             .select("host", "general", "child", F.lit(True).alias("rare"))
         )
         nxt = level.withColumn("child", child).join(rare, ["host", "general", "child"], "left")
@@ -146,11 +161,7 @@ def _merge(level: DataFrame) -> DataFrame:
             *[F.first(c).alias(c) for c in ("n", "blocked", "allowed", "all_n", "all_blocked", "all_allowed")],
         )
     )
-    labelled, all_labelled = F.col("blocked") + F.col("allowed"), F.col("all_blocked") + F.col("all_allowed")
-    unlike = F.round(F.abs(F.col("blocked") / labelled - F.col("all_blocked") / all_labelled), 9)
-    alike = (F.col("variation") <= F.greatest(F.lit(0.05), 1 / F.sqrt("n"))) & (
-        (labelled == 0) | (unlike <= F.greatest(F.lit(0.05), 1 / F.sqrt(F.greatest(labelled, F.lit(1)))))
-    )
+    alike = (F.col("variation") <= F.greatest(F.lit(0.05), 1 / F.sqrt("n"))) & _same_share()
     merged = variation.filter(alike).select("host", "prefix", "branch", F.lit(True).alias("merged"))
     marked = steps.select("host", "shape", "prefix", "branch", "d").join(merged, ["host", "prefix", "branch"], "left")
     final = marked.groupBy("host", "shape").agg(
