@@ -1,13 +1,14 @@
 """Path templates per host, judged by the labels that their urls carry.
 
 1. *Shapes.* Digit runs of a path segment become ``#``. A url's path is the list
-   of its first ``DEPTH`` segments' shapes, then ``**`` if there are more, then
-   ``$``.
+   of all its segments' shapes, then ``$``.
 2. *Variable segments.* Level by level below the already generalised prefix, a
    segment that holds less than one in ``RARE`` of its siblings' urls is a value,
    not a branch, and becomes ``*``, unless it has ``OWN`` urls or more or its share
    of blocked differs from its siblings' beyond sampling error. So what a large
-   host adds elsewhere does not swallow a branch.
+   host adds elsewhere does not swallow a branch. A path that is alone behind its
+   prefix has no siblings left and is finished at once, so the levels go as deep as
+   paths differ.
 3. *Similar branches.* The branches below one prefix are held against all of
    them together: by the distribution of what follows (total variation) and by
    the share of blocked among labelled urls. A branch within sampling error of
@@ -31,12 +32,14 @@ empty table gives an empty one; columns named like an output are replaced.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import materialize
 
+#: Segments that the SQL twin looks at; the paths of the given tables have two.
 DEPTH = 4
 RARE = 50
 #: Urls that make a segment a branch however many its siblings have.
@@ -93,9 +96,7 @@ def with_rule(df: DataFrame, rules: tuple[UrlRule, ...]) -> DataFrame:
 
 def shape(path: Column) -> Column:
     segments = F.filter(F.split(path, "/", -1), lambda s: s != "")
-    heads = F.transform(F.slice(segments, 1, DEPTH), lambda s: F.regexp_replace(s, "[0-9]+", "#"))
-    more = F.when(F.size(segments) > DEPTH, F.array(F.lit("**"))).otherwise(F.array().cast("array<string>"))
-    return F.concat(heads, more, F.array(F.lit("$")))
+    return F.concat(F.transform(segments, lambda s: F.regexp_replace(s, "[0-9]+", "#")), F.array(F.lit("$")))
 
 
 def _same_share() -> Column:
@@ -107,10 +108,24 @@ def _same_share() -> Column:
 
 def templates(shapes: DataFrame) -> DataFrame:
     """``shapes`` (host, shape, n, blocked, allowed; one row each) with the ``template`` of each shape."""
-    level = materialize(shapes.withColumn("general", F.array().cast("array<string>")), "level")
-    for d in range(DEPTH + 1):
+    columns = ["host", "shape", "n", "blocked", "allowed", "general"]
+    level = materialize(shapes.withColumn("general", F.array().cast("array<string>")).select(*columns), "level")
+    done, d = [], 0
+    while True:
+        # a shape that is alone behind its prefix has no siblings at any deeper level; joined by shape, for a
+        # hot host has few prefixes
+        nodes = level.groupBy("host", "general").agg(F.count("*").alias("shapes"), F.min("shape").alias("shape"))
+        alone = nodes.filter("shapes = 1").select("host", "shape", F.lit(False).alias("shared"))
+        still = F.coalesce("shared", F.lit(True)) & (F.size("shape") > d)
+        level = level.join(alone, ["host", "shape"], "left").select(*columns, still.alias("open"))
+        level = materialize(level, "level")
+        rest = F.slice("shape", F.size("general") + 1, F.greatest(F.size("shape") - F.size("general"), F.lit(0)))
+        done.append(level.filter(~F.col("open")).select(*columns[:-1], F.concat("general", rest).alias("general")))
+        level = level.filter("open").select(*columns)
+        if level.isEmpty():
+            break
         child = F.get("shape", F.lit(d))
-        inner = level.withColumn("child", child).filter(F.coalesce(child != "$", F.lit(False)))
+        inner = level.withColumn("child", child).filter(child != "$")
         children = inner.groupBy("host", "general", "child").agg(
             F.sum("n").alias("c"), *[F.sum(x).alias(x) for x in ("blocked", "allowed")]
         )
@@ -124,13 +139,10 @@ def templates(shapes: DataFrame) -> DataFrame:
             .select("host", "general", "child", F.lit(True).alias("rare"))
         )
         nxt = level.withColumn("child", child).join(rare, ["host", "general", "child"], "left")
-        step = F.when(F.col("child").isNull(), F.array().cast("array<string>")).otherwise(
-            F.array(F.when(F.col("rare"), F.lit("*")).otherwise(F.col("child")))
-        )
-        grown = F.concat("general", step)
-        level = materialize(
-            nxt.select("host", "shape", "n", "blocked", "allowed", grown.alias("general")), "level"
-        )
+        step = F.when(F.col("rare"), F.lit("*")).otherwise(F.col("child"))
+        level = nxt.select(*columns[:-1], F.concat("general", F.array(step)).alias("general"))
+        d += 1
+    level = materialize(reduce(DataFrame.unionByName, done), "level")
     return _merge(level)
 
 

@@ -30,3 +30,14 @@ def test_branch_on_a_small_and_a_very_large_host(spark, section):
     assert {large[u] for u in spam} == {"block"} and {large[u] for u in few if "/few/x" in u} == {"block"}
     assert {u: large[u] for u in spam + few} == {u: small[u] for u in spam + few}
     assert {large[u] for u in news + sections} == {"allow"}
+
+
+def test_branches_below_the_fourth_segment(spark):
+    """One long chain, and branches that differ only in their sixth segment."""
+    rules = (UrlRule("block", "h.net", "/a/b/c/d/e/bad/x"), UrlRule("allow", "h.net", "/a/b/c/d/e/good/x"))
+    urls = [f"http://h.net/a/b/c/d/e/{s}/{c}{word(i)}" for s in ("bad", "good") for c in "xy" for i in range(100)]
+    urls += ["http://g.net/" + "/".join(word(i) for i in range(200))]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    out = {r["url"]: r["verdict"] for r in judge_urls(pages, rules=rules).collect()}
+    assert len(out) == len(urls)
+    assert all(v == ("block" if "/bad/" in u else "allow") for u, v in out.items())
