@@ -1,12 +1,13 @@
-"""N-gram Jaccard join by a MinHash LSH forest, verified on whole shingle sets.
+"""N-gram Jaccard join by banded MinHash, verified on whole shingle sets.
 
 A document is the set of its ``n``-word shingles (one shingle of all its words
-if it has fewer). Documents with the same set are one node. A forest has
-``trees`` prefix tries over MinHash values; two sets of similarity s share a
-prefix of k values in some tree with probability 1 - (1 - s^k)^trees. Prefixes
-are matched at the full depth first and shortened until that probability
-reaches ``recall`` for sets exactly at the threshold; tries are sorted, so a
-shorter prefix means wider stretches of the same order.
+if it has fewer). Documents with the same set are one node. A signature has
+``trees`` bands of k MinHash values; two sets of similarity s share a band with
+probability 1 - (1 - s^k)^trees. k is fixed beforehand: the greatest with which
+that probability reaches ``recall`` for sets exactly at the threshold. This
+replaces an LSH forest, in which signatures are sorted and prefixes shortened
+level by level: with one threshold for all pairs, one length meets the recall.
+Below, a trie node is the set of nodes that share a band.
 
 1. Nodes that share a prefix meet in its trie node. There the whole signatures
    are compared, and those whose agreement could belong to a pair above the
