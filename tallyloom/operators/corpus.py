@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.session import materialize
 
@@ -76,25 +82,60 @@ def word_counts(texts: DataFrame, text: str) -> DataFrame:
     return found.groupBy("word").agg(F.count("*").alias("n"))
 
 
-def _one_shorter(word: Column) -> Column:
-    """The word with each of its letters left out in turn."""
-    cut = F.transform(
-        F.sequence(F.lit(1), F.length(word)),
-        lambda i: F.concat(F.substr(word, F.lit(1), i - 1), F.substr(word, i + 1)),
-    )
-    return F.when(F.length(word) > 0, cut).otherwise(F.array().cast("array<string>"))
-
+# Words up to this length meet in deletion keys; where one of a pair is longer, they meet in segments.
+_SHORT = 32
+_SEGMENTS = 5
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
-def deletion_keys(word: Column) -> Column:
-    """A word with up to two of its letters left out. Words two edits apart or less share such a key,
-    a swap of neighbours costing each of them one letter."""
-    once = _one_shorter(word)
-    return F.array_distinct(F.concat(F.array(word), once, F.flatten(F.transform(once, _one_shorter))))
 
+def _hashed_deletions(letters: np.ndarray, deletions: int) -> np.ndarray:
+    """Hashes of each row (a word's code points) with up to ``deletions`` of them left out.
 
-# Words up to this length meet in deletion keys; where one of a pair is longer, they meet in segments.
-_SHORT = 10
-_SEGMENTS = 5
+    A polynomial in the code points, so that leaving some out takes the hashes of the parts between
+    them; only the empty word's hash is 0.
+    """
+    rows, n = letters.shape
+    power = _BASE ** np.arange(n + 1, dtype=np.uint64)
+    before = np.zeros((rows, n + 1), dtype=np.uint64)
+    for i in range(n):
+        before[:, i + 1] = before[:, i] * _BASE + letters[:, i]
+
+    def part(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return before[:, b] - before[:, a] * power[b - a]
+
+    i = np.arange(n)
+    ends = np.full(n, n)
+    found = [before[:, n:], before[:, i] * power[n - 1 - i] + part(i + 1, ends)]
+    if deletions > 1:
+        i, j = np.triu_indices(n, 1)
+        found.append((before[:, i] * power[j - i - 1] + part(i + 1, j)) * power[n - 1 - j] + part(j + 1, np.full(len(j), n)))
+    keys = np.concatenate(found, axis=1)
+    left = np.repeat([n, n - 1, n - 2][: len(found)], [f.shape[1] for f in found])
+    return np.where((keys == 0) & (left > 0), np.uint64(1), keys)
+
+
+def _deletion_lists(words: pa.Array, deletions: int, asked: np.ndarray | None) -> pa.Array:
+    """For each word its deletion keys, or those of them in the bitmap ``asked``; none for null and for
+    words longer than ``_SHORT``. A key comes twice where leaving out either of two letters gives the same."""
+    length = pc.fill_null(pc.utf8_length(words), _SHORT + 1).to_numpy(zero_copy_only=False)
+    owners, found = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)]
+    for n in np.unique(length[length <= _SHORT]):
+        rows = np.flatnonzero(length == n)
+        joined = "".join(words.take(pa.array(rows)).to_pylist())
+        letters = np.frombuffer(joined.encode("utf-32-le"), dtype="<u4").astype(np.uint64).reshape(len(rows), n)
+        keys = _hashed_deletions(letters, deletions)
+        owner = np.repeat(rows, keys.shape[1])
+        keys = keys.ravel()
+        if asked is not None:
+            bit = keys >> np.uint64(64 - (8 * len(asked)).bit_length() + 1)
+            hit = np.flatnonzero((asked[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1)
+            owner, keys = owner[hit], keys[hit]
+        owners.append(owner)
+        found.append(keys)
+    owner = np.concatenate(owners)
+    values = np.concatenate(found)[np.argsort(owner, kind="stable")]
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(words)))])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.view(np.int64)))
 
 
 def _bound(length: Column, k: int | Column) -> Column:
@@ -133,13 +174,53 @@ def segment_probes(word: Column) -> Column:
     return F.array_distinct(F.flatten(found))
 
 
-def _with_keys(words: DataFrame, word: str, long_keys) -> DataFrame:
+#: Bits of a bitmap of keys at most (32 MB); past that it lets more keys through, and the join does the rest.
+_MOST_BITS = 2**28
+
+
+def _bit(key: Column, bits: int) -> Column:
+    return F.shiftrightunsigned(key, 64 - (bits.bit_length() - 1))
+
+
+def key_bitmap(keyed: DataFrame, count: int) -> np.ndarray:
+    """A bit for every value that the upper bits of ``key`` take, some sixteen bits to a key."""
+    bits = min(_MOST_BITS, 2 ** max(15, (16 * count).bit_length()))
+    at = _bit(F.col("key"), bits)
+    pages = keyed.groupBy(F.bitmap_bucket_number(at + 1).alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at + 1)).alias("bits"))
+    bitmap = np.zeros(bits // 8, dtype=np.uint8)
+    for page in pages.collect():  # bounded by the bitmap's size
+        start = (page["page"] - 1) * 4096
+        bitmap[start : start + 4096] = np.frombuffer(page["bits"], dtype=np.uint8)
+    return bitmap
+
+
+def with_deletion_keys(
+    words: DataFrame, word: str, deletions: int, long_keys: Callable[[Column], Column], asked: np.ndarray | None = None
+) -> DataFrame:
+    """A row per word and key. Two words few edits apart share a key, whatever their length.
+
+    A key is the hash of the word with up to ``deletions`` letters left out: an edit costs each of two
+    words one letter at most, and so does a swap of neighbours. Words of many letters would have too
+    many keys; those longer than ``_SHORT``, and those that could be near one, have the keys that
+    ``long_keys`` makes of their segments. Of the deletion keys only those in the bitmap ``asked``
+    are handed on, if one is given.
+    """
+    names = words.columns
+    bitmap = None if asked is None else words.sparkSession.sparkContext.broadcast(asked)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                some = batch.slice(at, 4096)
+                lists = _deletion_lists(some.column(names.index(word)), deletions, None if bitmap is None else bitmap.value)
+                yield pa.RecordBatch.from_arrays([*some.columns, lists], names=[*names, "keys"])
+
+    schema = T.StructType([*words.schema.fields, T.StructField("keys", T.ArrayType(T.LongType()))])
     w = F.col(word)
-    none = F.array().cast("array<string>")
-    short = F.when(F.length(w) <= _SHORT, deletion_keys(w)).otherwise(none)
-    # a word of nine letters can be near one of eleven
-    long = F.when(F.length(w) >= _SHORT - 1, long_keys(w)).otherwise(none)
-    return words.withColumn("key", F.explode(F.concat(short, long)))
+    segments = F.when(F.length(w) >= _SHORT - 1, F.transform(long_keys(w), lambda k: F.xxhash64(k)))
+    keyed = words.mapInArrow(add, schema)
+    keys = F.when(F.length(w) < _SHORT - 1, F.col("keys")).otherwise(F.concat("keys", segments))
+    return keyed.select(*names, F.explode(keys).alias("key"))
 
 
 def _adjacent_swap(a: Column, b: Column) -> Column:
@@ -153,15 +234,66 @@ def _adjacent_swap(a: Column, b: Column) -> Column:
     return (F.length(a) == F.length(b)) & neighbours & swapped
 
 
-def _swap_and_edit(a: Column, b: Column) -> Column:
-    """Some swap of neighbours in ``a`` leaves at most one edit, or one more swap, to ``b``."""
+def _after_a_swap(a: Column, near: Callable[[Column], Column]) -> Column:
+    """``near`` holds for ``a`` with some pair of neighbours in reverse order."""
     places = F.when(F.length(a) > 1, F.sequence(F.lit(1), F.length(a) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.exists(
+        places, lambda i: near(F.concat(F.substr(a, F.lit(1), i - 1), F.reverse(F.substr(a, i, F.lit(2))), F.substr(a, i + 2)))
+    )
 
-    def after(i: Column) -> Column:
-        swapped = F.concat(F.substr(a, F.lit(1), i - 1), F.reverse(F.substr(a, i, F.lit(2))), F.substr(a, i + 2))
-        return (F.levenshtein(swapped, b) <= 1) | _adjacent_swap(swapped, b)
 
-    return F.exists(places, after)
+def _shortest(known: DataFrame) -> DataFrame:
+    """Words of one and two letters that may answer for the key of the empty word.
+
+    All such words share it. Those with a common letter share another key too, and of the others
+    only the first choice of either length can win.
+    """
+    order = F.struct((-F.col("n")).alias("less"), "candidate")
+    return (
+        known.filter(F.length("candidate") <= 2)
+        .groupBy(F.length("candidate"))
+        .agg(F.min_by(F.struct("candidate", "n"), order).alias("best"))
+        .select("best.candidate", "best.n", F.lit(0).cast("long").alias("key"))
+    )
+
+
+def spelling_candidates(unknown: DataFrame, known: DataFrame, deletions: int) -> DataFrame:
+    """Pairs (word, candidate, n) that share a deletion key; a pair may come once per shared key.
+
+    ``unknown`` has ``word``, ``known`` has ``candidate`` and ``n``. The keys of the unknown words are
+    few; a bitmap of them keeps the others from leaving the tasks that make those of the known words.
+    They are sent there as a whole as long as their counted number allows it; past that both sides
+    are dealt by key, and a key that many words share is split by AQE.
+    """
+    wrong = materialize(with_deletion_keys(unknown.select("word"), "word", deletions, segment_probes).distinct(), "asked-keys")
+    rows, size = wrong.agg(F.count("*"), F.coalesce(F.max(F.octet_length("word")), F.lit(0))).first()
+    spread = _spread(known.select("candidate", "n"), F.xxhash64("candidate"))
+    keyed = with_deletion_keys(spread, "candidate", deletions, segment_keys, key_bitmap(wrong, rows))
+    right = keyed.filter("key <> 0").unionByName(_shortest(known))
+    return right.join(_small(wrong, rows, rows * min(size, 64)), "key").select("word", "candidate", "n")
+
+
+def _one_edit(w: Column, c: Column) -> Column:
+    return (F.levenshtein(w, c, 1) == 1) | _adjacent_swap(w, c)
+
+
+def _two_edits(w: Column, c: Column) -> Column:
+    """Two insertions, deletions, changes or swaps of neighbours, for words that are not one edit apart."""
+    plain = F.levenshtein(w, c, 4)  # a swap of neighbours is two plain edits
+    mine, other = F.split(w, ""), F.split(c, "")
+    # a swap changes no letters, so what else there is changes one at most
+    alike = (F.size(F.array_except(mine, other)) <= 1) & (F.size(F.array_except(other, mine)) <= 1)
+    swap_and_edit = _after_a_swap(w, lambda s: F.levenshtein(s, c, 1) == 1) | _after_a_swap(c, lambda s: F.levenshtein(s, w, 1) == 1)
+    two_swaps = _after_a_swap(w, lambda s: _adjacent_swap(s, c))
+    same = (F.length(w) == F.length(c)) & (F.array_sort(mine) == F.array_sort(other))
+    return (plain == 2) | ((plain == 3) & alike & swap_and_edit) | ((plain > 2) & same & two_swaps)
+
+
+def _choice(pairs: DataFrame, near: Column) -> DataFrame:
+    """Of the candidates for which ``near`` holds the most frequent one, then the first."""
+    return pairs.filter(near).groupBy("word").agg(
+        F.min_by("candidate", F.struct((-F.col("n")).alias("less"), "candidate")).alias("found")
+    )
 
 
 def correct_words(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -170,42 +302,20 @@ def correct_words(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
     ``vocabulary`` has ``word`` and its frequency ``n``. Nearest means the
     fewest edits, at most two, a swap of neighbours counting as one edit beside
     others too; then the most frequent; then the first in the alphabet.
+
+    Words meet in hashed deletion keys. Only those without a word one edit away
+    are asked for words two edits away, which takes the longer list of keys.
     """
     words = words.select("word").distinct()
-    # counted once from the corpus, then read three times
+    # counted once from the corpus, then read several times
     vocabulary = materialize(vocabulary.select("word", "n"), "vocabulary")
     known = vocabulary.select(F.col("word").alias("candidate"), "n")
-    unknown = words.join(vocabulary.select("word"), "word", "left_anti")
-    unknown = _spread(unknown, F.xxhash64("word"))
-    wrong = _with_keys(unknown, "word", segment_probes)
-    keyed = _with_keys(known, "candidate", segment_keys)
-    # all words of one or two letters share the empty key; those with a common letter share another one
-    # too, and of the others only the first choice of either length can win
-    order = F.struct((-F.col("n")).alias("less"), "candidate")
-    shortest = (
-        known.filter(F.length("candidate") <= 2)
-        .groupBy(F.length("candidate"))
-        .agg(F.min_by(F.struct("candidate", "n"), order).alias("best"))
-        .select("best.candidate", "best.n", F.lit("").alias("key"))
-    )
-    right = keyed.filter("key <> ''").unionByName(shortest)
-    size = vocabulary.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("word")), F.lit(0)).alias("bytes")).first()
-    # 1 + 10 + 45 deletion keys and 5 segments at most
-    right = _small(right, size["rows"] * 61, size["bytes"] * 61 * 2)
+    unknown = materialize(words.join(vocabulary.select("word"), "word", "left_anti"), "unknown")
     w, c = F.col("word"), F.col("candidate")
-    plain = F.levenshtein(w, c, 4)  # a swap of neighbours is two plain edits
-    swapped = _swap_and_edit(w, c) | _swap_and_edit(c, w)
-    edits = F.when(_adjacent_swap(w, c), 1).when(plain <= 2, plain).when(swapped, 2)
-    near = (
-        wrong.join(right, "key")
-        .filter(F.abs(F.length(w) - F.length(c)) <= 2)
-        .filter(plain.between(0, 4))
-        .withColumn("edits", edits)
-        .filter(F.col("edits").isNotNull())
-    )
-    best = near.groupBy("word").agg(
-        F.min_by("candidate", F.struct("edits", (-F.col("n")).alias("less"), "candidate")).alias("found")
-    )
+    one = materialize(_choice(spelling_candidates(unknown, known, 1), _one_edit(w, c)), "one-edit")
+    rest = materialize(unknown.join(one, "word", "left_anti"), "rest")
+    two = _choice(spelling_candidates(rest, known, 2), _two_edits(w, c))
+    best = one.unionByName(two)
     return words.join(best, "word", "left").select("word", F.coalesce("found", "word").alias("correction"))
 
 
