@@ -194,3 +194,32 @@ def line_dedup_sql() -> str:
         f"WITH {lines_sql('documents')} SELECT doc_id, n_lines, n_removed, n_runs, "
         "CASE WHEN text IS NULL THEN NULL ELSE sha256(text) END AS kept_sha256 FROM deduped"
     )
+
+
+def crc32_sql(text: str) -> str:
+    """The unsigned crc32 of a string expression's UTF-8 bytes, bit by bit."""
+    hexes = f"hex(encode({text}))"
+    bytes_ = f"list_transform(range(0, octet_length(encode({text}))), lambda k: CAST('0x' || substr({hexes}, CAST(2 * k + 1 AS INTEGER), 2) AS BIGINT))"
+    step = "list_reduce(list_concat([xor(c, x)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda t, z: xor(t >> 1, 3988292384 * (t & 1)))"
+    return f"xor(list_reduce(list_concat([4294967295], {bytes_}), lambda c, x: {step}), 4294967295)"
+
+
+def variants_sql() -> str:
+    return rf"""WITH RECURSIVE r AS (
+             SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times FROM
+               (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents) WHERE length(run) >= 5 GROUP BY ALL),
+           h AS (SELECT run, times, {crc32_sql("concat(doc_id, ':', run)")} AS h FROM r),
+           d AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) + 2 AS INTEGER))
+                        ELSE run END AS word, times FROM h),
+           v AS MATERIALIZED (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM d WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+           c AS (SELECT word, n, i, substr(word, 1, CAST(i - 1 AS INTEGER)) || substr(word, CAST(i + 1 AS INTEGER)) AS rest
+                 FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+           p AS (SELECT a.word, b.word AS near, b.n AS near_n FROM c a JOIN c b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+                 UNION SELECT c.word, v.word, v.n FROM c JOIN v ON v.word = c.rest
+                 UNION SELECT v.word, c.word, c.n FROM c JOIN v ON v.word = c.rest),
+           b AS (SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS near, max(near_n) AS near_n FROM p GROUP BY word),
+           f AS MATERIALIZED (SELECT v.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * n THEN near END AS form,
+                        CASE WHEN near_n >= 2 * n THEN near_n END AS form_n FROM v LEFT JOIN b USING (word)),
+           t AS (SELECT word, word AS at_word FROM f UNION ALL SELECT t.word, f.form FROM t JOIN f ON f.word = t.at_word AND f.form IS NOT NULL)
+      SELECT f.word, f.form, t.at_word AS root, f.n, f.n_near, f.form_n
+      FROM f JOIN t USING (word) JOIN f e ON e.word = t.at_word AND e.form IS NULL"""
