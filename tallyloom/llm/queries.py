@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe_codec, graph_search, host_rules, line_dedup, ngram_join, spelling_variants, sql, substring_dedup, token_counts, token_output, url_templates, vector_packing
+from tallyloom.llm import bpe_codec, graph_search, host_rules, line_dedup, ngram_join, spelling_variants, sql, subspace_join, substring_dedup, token_counts, token_output, url_templates, vector_packing
 from tallyloom.llm.common import materialize, read_table, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,8 @@ def op11_spelling_variants(spark: SparkSession, root: str) -> DataFrame:
     docs = read_table(spark, root, "documents").select("doc_id", "text")
     counts = spelling_variants.damaged_words(docs).groupBy("word").agg(F.count("*").alias("n")).filter("n >= 3")
     return spelling_variants.group_variants(counts)
+
+
+@query("op13_subspace_join", sql.vectors_sql())
+def op13_subspace_join(spark: SparkSession, root: str) -> DataFrame:
+    return subspace_join.near_duplicates(read_table(spark, root, "embeddings"))

@@ -223,3 +223,17 @@ def variants_sql() -> str:
            t AS (SELECT word, word AS at_word FROM f UNION ALL SELECT t.word, f.form FROM t JOIN f ON f.word = t.at_word AND f.form IS NOT NULL)
       SELECT f.word, f.form, t.at_word AS root, f.n, f.n_near, f.form_n
       FROM f JOIN t USING (word) JOIN f e ON e.word = t.at_word AND e.form IS NULL"""
+
+
+def vectors_sql(least: float = 0.98) -> str:
+    return f"""WITH RECURSIVE e AS (
+             SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+             WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+               AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+           p AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id
+                 WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= {least}),
+           t AS (SELECT vec_id, vec_id AS b FROM embeddings UNION SELECT t.vec_id, p.b FROM t JOIN p ON p.a = t.b),
+           c AS (SELECT vec_id, min(b) AS component_id FROM t GROUP BY vec_id),
+           n AS (SELECT a AS vec_id, count(*) AS n_links FROM p GROUP BY a)
+      SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+      FROM embeddings JOIN c USING (vec_id) LEFT JOIN n USING (vec_id)"""
