@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe_codec, graph_search, host_rules, line_dedup, ngram_join, spelling_variants, sql, subspace_join, substring_dedup, token_counts, token_output, url_templates, vector_packing
+from tallyloom.llm import bpe_codec, conversation_repair, graph_search, host_rules, line_dedup, ngram_join, spelling_variants, sql, subspace_join, substring_dedup, token_counts, token_output, url_templates, vector_packing
 from tallyloom.llm.common import materialize, read_table, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,6 +127,20 @@ def op11_spelling_variants(spark: SparkSession, root: str) -> DataFrame:
     return spelling_variants.group_variants(counts)
 
 
+@query("op12_conversation_repair", sql.repair_sql())
+def op12_conversation_repair(spark: SparkSession, root: str) -> DataFrame:
+    rows = read_table(spark, root, "conversations").select("conv_id", "turn", "role", "text")
+    repaired = conversation_repair.repair(conversation_repair.damaged(rows)).withColumnRenamed("conv_id", "c")
+    every = rows.select("conv_id").distinct()
+    counted = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.join(repaired, F.col("conv_id").eqNullSafe(F.col("c")), "left").select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counted],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 @query("op13_subspace_join", sql.vectors_sql())
 def op13_subspace_join(spark: SparkSession, root: str) -> DataFrame:
     return subspace_join.near_duplicates(read_table(spark, root, "embeddings"))

@@ -237,3 +237,48 @@ def vectors_sql(least: float = 0.98) -> str:
            n AS (SELECT a AS vec_id, count(*) AS n_links FROM p GROUP BY a)
       SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
       FROM embeddings JOIN c USING (vec_id) LEFT JOIN n USING (vec_id)"""
+
+
+def repair_sql() -> str:
+    ink = r"[^\x20\x09-\x0D]"
+    return rf"""WITH RECURSIVE f AS (
+             SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                    {crc32_sql("concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS h FROM conversations),
+           d AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+                        CASE WHEN h = 1 THEN '' WHEN h = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                        unnest(range(0, CASE WHEN h = 3 THEN 2 ELSE 1 END)) AS again FROM f WHERE h <> 0),
+           o AS (SELECT conv_id, turn, role, text, row_number() OVER w AS i,
+                        substr(role, 1, 1) AS initial, lag(substr(role, 1, 1)) OVER w AS before
+                 FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+           r AS MATERIALIZED (SELECT *, CASE WHEN NOT regexp_matches(text, '{ink}') THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+                        WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault FROM o),
+           dp AS (
+             SELECT conv_id, CAST(0 AS BIGINT) AS i, q, cost, audit
+             FROM (SELECT DISTINCT conv_id FROM r), (VALUES (0, 0, ''), (2, 2, 'I'), (3, 4, 'II')) s(q, cost, audit)
+             UNION ALL
+             SELECT conv_id, i, q, cost, audit FROM (
+               SELECT conv_id, i, q3 AS q, cost, audit, row_number() OVER (PARTITION BY conv_id, q3 ORDER BY cost, audit) AS place FROM (
+                 SELECT conv_id, i, audit || letter || repeat('I', k) AS audit,
+                        CASE WHEN k = 0 THEN q2 WHEN (k = 1) = (q2 = 2) THEN 3 ELSE 2 END AS q3,
+                        cost + 2 * k + CASE letter WHEN 'K' THEN 0 WHEN 'R' THEN 2 ELSE 3 END + CASE WHEN letter <> 'D' AND fault = 't' THEN 1 ELSE 0 END AS cost
+                 FROM (SELECT dp.conv_id, r.i, dp.cost, dp.audit, letter, fault,
+                              CASE WHEN letter = 'D' THEN q WHEN fault IN ('b', 'd') THEN NULL
+                                   WHEN letter = 'R' THEN CASE q WHEN 2 THEN 3 ELSE 2 END
+                                   WHEN initial = 's' AND q = 0 THEN 1 WHEN initial = 'u' AND q <> 2 THEN 2 WHEN initial = 'a' AND q = 2 THEN 3 END AS q2
+                       FROM dp JOIN r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.i = dp.i + 1, (VALUES ('K'), ('R'), ('D')) e(letter)),
+                      (VALUES (0), (1), (2)) n(k) WHERE q2 IS NOT NULL)) WHERE place = 1),
+           c AS MATERIALIZED (SELECT conv_id, max(i) AS n, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+                        count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal,
+                        coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps FROM r GROUP BY conv_id),
+           g AS MATERIALIZED (SELECT conv_id, min(cost) AS cost, arg_min(audit, (cost, audit)) AS audit FROM dp JOIN c USING (conv_id) WHERE i = n AND q IN (0, 3) GROUP BY conv_id),
+           a AS (SELECT conv_id, audit, p, substr(audit, CAST(p AS INTEGER), 1) AS letter, p - len(replace(substr(audit, 1, CAST(p AS INTEGER)), 'I', '')) AS inserted
+                 FROM (SELECT conv_id, audit, unnest(range(1, len(audit) + 1)) AS p FROM g)),
+           l AS (SELECT a.conv_id, p, letter, role, text, letter IN ('R', 'I') OR letter = 'K' AND initial <> 's' AS counted
+                 FROM a LEFT JOIN r ON letter <> 'I' AND a.conv_id = r.conv_id AND r.i = p - inserted),
+           m AS (SELECT *, count(*) FILTER (counted) OVER (PARTITION BY conv_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS written FROM l),
+           w AS (SELECT conv_id, string_agg(CASE letter WHEN 'K' THEN role ELSE CASE WHEN written % 2 = 0 THEN 'user' ELSE 'assistant' END END || ':' ||
+                        CASE letter WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS repaired FROM m WHERE letter <> 'D' GROUP BY conv_id)
+      SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+             coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+             coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+      FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN c USING (conv_id) LEFT JOIN g USING (conv_id) LEFT JOIN w USING (conv_id)"""
