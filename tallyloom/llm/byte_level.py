@@ -63,29 +63,35 @@ class _Chunks(_Kept):
     begins a pre-token, whatever stands before it; only such stretches are kept.
     """
 
-    def __init__(self, pre_tokens: _PreTokens, find: Callable[[str], list[str]]):
-        self.pre_tokens, self.find = pre_tokens, find
+    def __init__(self, encode: Callable[[str], bytes]):
+        self.encode = encode
 
     def __missing__(self, chunk: str) -> bytes:
         body = chunk[1:] if chunk[:1] == "\n" else chunk
         if not body or body[0].isspace():
             raise _NotSeparable
-        whole = chunk if chunk[0] == "\n" else " " + chunk
-        return self.keep(chunk, b"".join(map(self.pre_tokens.__getitem__, self.find(whole))))
+        return self.keep(chunk, self.encode(chunk if chunk[0] == "\n" else " " + chunk))
 
 
 class ByteLevelEncoder:
-    """Packed ids of whole texts: pre-tokens by ``pattern``, each encoded by ``encode`` and cached."""
+    """Packed ids of whole texts: pre-tokens by ``pattern``, each encoded by ``encode`` and cached.
 
-    def __init__(self, pattern: str, encode: Callable[[str], bytes]):
+    ``encode_text``, if given, encodes any text at once and is used for stretches that are not cached yet.
+    """
+
+    def __init__(self, pattern: str, encode: Callable[[str], bytes], encode_text: Callable[[str], bytes] | None = None):
         self.find = regex.compile(pattern).findall
         self.pre_tokens = _PreTokens(encode)
-        self.chunks = _Chunks(self.pre_tokens, self.find)
+        self.encode_text = encode_text or self._by_pre_tokens
+        self.chunks = _Chunks(self.encode_text)
+
+    def _by_pre_tokens(self, text: str) -> bytes:
+        return b"".join(map(self.pre_tokens.__getitem__, self.find(text)))
 
     def __call__(self, text: str) -> bytes:
         first, *rest = text.replace("\n", " \n").split(" ")
         try:
             tail = b"".join(map(self.chunks.__getitem__, rest))
         except _NotSeparable:
-            return b"".join(map(self.pre_tokens.__getitem__, self.find(text)))
-        return b"".join(map(self.pre_tokens.__getitem__, self.find(first))) + tail
+            return self.encode_text(text)
+        return self.encode_text(first) + tail

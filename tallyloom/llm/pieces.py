@@ -9,12 +9,13 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyloom.llm.byte_level import ByteLevelEncoder, pack_ids, to_byte_alphabet
+from tallyloom.llm.byte_level import BYTE_ALPHABET, ByteLevelEncoder, pack_ids, to_byte_alphabet
 from tallyloom.llm.common import let_go, materialize, shared_bytes, text_or_empty
 
 #: Rows of ids that a task holds before it hands them on.
@@ -25,11 +26,24 @@ _SCHEMA = (
 )
 
 
+def merge_ranks(model: dict) -> dict[bytes, int] | None:
+    """The bytes of each token and its id, if ids follow the order of the merges and so can rank them."""
+    back = {c: b for b, c in BYTE_ALPHABET.items()}
+    merged = [model["vocab"].get("".join(m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
+    single = [model["vocab"].get(c) for c in back]
+    if None in merged or None in single or any(a >= b for a, b in zip([max(single), *merged], merged, strict=False)):
+        return None
+    if len(model["vocab"]) != len(merged) + len(single) or model.get("ignore_merges") or model.get("dropout"):
+        return None
+    return {bytes(back[c] for c in token): i for token, i in model["vocab"].items()}
+
+
 class IdEncoder:
     """Packed ids of whole texts as the tokenizer's own ``encode`` gives them.
 
-    Its BPE model is asked once for each pre-token; texts with an added token in
-    them go to the tokenizer as they are.
+    Where its ids rank its merges, a stretch of text is encoded by these ranks in
+    one call; else its BPE model is asked for each pre-token. Texts with an added
+    token in them go to the tokenizer as they are.
     """
 
     def __init__(self, content: bytes, pattern: str):
@@ -39,12 +53,18 @@ class IdEncoder:
         if spec["normalizer"] or cut.get("type") != "ByteLevel" or cut["add_prefix_space"] or not cut.get("use_regex", True):
             raise ValueError("only byte-level tokenizers without normalizer or added blank are handled")
         self.added = [a["content"] for a in spec["added_tokens"]]
-        model = self.whole.model
+        model, ranks = self.whole.model, merge_ranks(spec["model"])
+        in_one_call = None
+        if ranks is not None:
+            ranked = tiktoken.Encoding("ranked", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+            def in_one_call(text: str) -> bytes:
+                return pack_ids(ranked(text))
 
         def encode(pre_token: str) -> bytes:
             return pack_ids(t.id for t in model.tokenize(to_byte_alphabet(pre_token.encode())))
 
-        self.plain = ByteLevelEncoder(pattern, encode)
+        self.plain = ByteLevelEncoder(pattern, encode, in_one_call)
 
     def __call__(self, text: str) -> bytes:
         if any(a in text for a in self.added):
