@@ -92,16 +92,30 @@ def per_group(df: DataFrame, key: str, work: Callable[[pd.DataFrame], pd.DataFra
 
 def components(neighbours: Callable[[int, np.ndarray], np.ndarray], n: int) -> np.ndarray:
     """The smallest member of each row's component; ``neighbours(i, others)`` tells which of ``others`` row i links to."""
-    root = np.full(n, -1)
-    free = np.arange(n)
+    root = np.arange(n)
+    join_rows(neighbours, root, np.arange(n))
+    return root
+
+
+def join_rows(neighbours: Callable[[int, np.ndarray], np.ndarray], root: np.ndarray, rows: np.ndarray) -> list[tuple[int, int]]:
+    """Let ``root`` (the smallest member of each one's component) take in the links among ``rows``.
+
+    What belongs together already is not compared again. Returns the pairs of roots that were joined.
+    """
+    made: list[tuple[int, int]] = []
+    free = rows
     while len(free):
-        start, free = free[0], free[1:]
-        root[start] = start
-        queue = [start]
+        own = root[free] == root[free[0]]
+        queue, free = free[own].tolist(), free[~own]
         while queue and len(free):
-            linked = neighbours(queue.pop(), free)
-            joined = free[linked]
-            root[joined] = start
-            queue.extend(joined.tolist())
-            free = free[~linked]
-    return root
+            i = queue.pop()
+            linked = np.unique(root[free[neighbours(i, free)]])
+            for r in linked.tolist():
+                a, b = sorted((int(root[i]), r))
+                made.append((a, b))
+                root[root == b] = a
+            if len(linked):
+                joined = root[free] == root[i]
+                queue += free[joined].tolist()
+                free = free[~joined]
+    return made

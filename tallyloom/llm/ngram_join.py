@@ -1,26 +1,29 @@
-"""N-gram Jaccard join by banded MinHash, verified on whole shingle sets.
+"""N-gram Jaccard join by a MinHash LSH forest, verified on whole shingle sets.
 
 A document is the set of its ``n``-word shingles (one shingle of all its words
-if it has fewer). Documents with the same set are one node. A signature has
-``trees`` bands of k MinHash values; two sets of similarity s share a band with
-probability 1 - (1 - s^k)^trees. k is fixed beforehand: the greatest with which
-that probability reaches ``recall`` for sets exactly at the threshold. This
-replaces an LSH forest, in which signatures are sorted and prefixes shortened
-level by level: with one threshold for all pairs, one length meets the recall.
-Below, a trie node is the set of nodes that share a band.
-
-1. Nodes that share a prefix meet in its trie node. There the whole signatures
-   are compared, and those whose agreement could belong to a pair above the
-   threshold (five standard errors below it and more) are linked, as a forest of
-   links rather than pairs.
+if it has fewer). Documents with the same set are one node. A signature has a
+stretch of MinHash values for each of ``trees`` trees, ``longest`` values deep.
+Two sets of similarity s share the first d values in some tree with probability
+1 - (1 - s^d)^trees; the shortest prefix that is ever needed is the longest one
+with which pairs at the threshold reach ``recall``.
+
+1. Each tree is a trie of the sorted stretches. Nodes that share the shortest
+   prefix meet in a task, sorted by their stretch. Prefixes are matched at full
+   depth first; there whole signatures are compared, and those whose agreement
+   could belong to a pair above the threshold (five standard errors below it and
+   more) are linked. Then the prefix is shortened level by level, and only what
+   is not connected yet is compared, until all rows of the trie node are
+   connected or the shortest prefix is done. What is handed on is a forest of
+   links, never pairs.
 2. Connected nodes are a candidate class. Its members' shingle sets are built
    again from their whole texts and intersected, each pair once; Jaccard
    similarity is compared in whole numbers.
 3. Verified links are counted per node, and classes are the connected nodes.
 
 A trie node or class with more rows than a block is dealt to pairs of blocks, so
-a task holds two blocks at most and no pair is left out; what a task hands on is
-a count and one link for each of its rows, never pairs.
+a task holds two blocks at most and no pair is left out. Two different blocks of
+a trie node hand on only links that join what either block has not connected by
+itself; a class's pair of blocks hands on a count and a link for each row.
 
 Output per row of ``docs``: class_id (the smallest id of its class), n_links
 (different shingle sets that are similar enough to its own) and n_copies (rows
@@ -45,11 +48,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.llm.common import add_columns, materialize
-from tallyloom.llm.groups import components, connected, in_blocks, per_group
+from tallyloom.llm.groups import components, connected, in_blocks, join_rows, per_group
 from tallyloom.llm.substring_dedup import _BASES, _mix, _word_hashes, range_hashes, split_words, word_hashes
 
 #: Rows of a trie node, and of a class, that make a block.
-NODE_ROWS, CLASS_ROWS = 400, 250
+NODE_ROWS, CLASS_ROWS = 1_500, 600
+#: Values of a signature in each tree.
+LONGEST = 7
 #: Columns of shingles that are multiplied at a time.
 _COLUMNS = 8_192
 _SEED = 20_240
@@ -60,8 +65,8 @@ def recall_at(similarity: float, depth: int, trees: int) -> float:
     return 1 - (1 - similarity**depth) ** trees
 
 
-def prefix_depth(threshold: float, trees: int, recall: float, longest: int = 16) -> int:
-    """The longest prefix, shortened step by step, with which pairs at the threshold reach the target recall."""
+def prefix_depth(threshold: float, trees: int, recall: float, longest: int = LONGEST) -> int:
+    """The prefix at which shortening ends: the longest with which pairs at the threshold reach the target recall."""
     depth = longest
     while depth > 1 and recall_at(threshold, depth, trees) < recall:
         depth -= 1
@@ -113,28 +118,60 @@ def signed(docs: DataFrame, n: int, count: int) -> DataFrame:
     return add_columns(docs, ["text"], kinds, start, drop=("text",)).filter("digest IS NOT NULL")
 
 
+def trie_links(rows: np.ndarray, trie: np.ndarray, depth: int, least_equal: int, block: np.ndarray) -> list[tuple[int, int]]:
+    """Links between rows (signatures) that share the first ``depth`` values of ``trie``, their stretches of one tree.
+
+    Rows are told apart by ``block``; where there are two, links inside one of them are not returned.
+    """
+
+    def alike(i: int, others: np.ndarray) -> np.ndarray:
+        return (rows[others] == rows[i]).sum(axis=1) >= least_equal
+
+    def shorten(members: np.ndarray) -> list[tuple[int, int]]:
+        made = []
+        shared = np.cumprod(trie[members[1:]] == trie[members[:-1]], axis=1).sum(axis=1)
+        for level in range(trie.shape[1], depth - 1, -1):
+            cuts = np.concatenate([[0], np.flatnonzero(shared < level) + 1, [len(members)]])
+            for k in np.flatnonzero(np.diff(cuts) > 1):
+                run = members[cuts[k] : cuts[k + 1]]
+                if (root[run] != root[run[0]]).any():
+                    made += join_rows(alike, root, run)
+            if (root[members] == root[members[0]]).all():
+                break  # shorter prefixes can join nothing more
+        return made
+
+    root = np.arange(len(rows))
+    order = np.lexsort((root, *trie.T[::-1]))
+    parts = np.unique(block)
+    if len(parts) == 1:
+        return shorten(order)
+    for one in parts:
+        shorten(order[block[order] == one])
+    return shorten(order)
+
+
 def _candidates(nodes: DataFrame, trees: int, depth: int, least_equal: int) -> DataFrame:
     """Links (a, b) between nodes that meet in a trie node and whose signatures agree often enough."""
-    width = 2 * depth
     in_tries = nodes.select("node", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "signature").select(
-        "node", "tree", F.substring("signature", F.col("tree") * width + 1, F.lit(width)).alias("prefix")
+        "node", "tree", F.substring("signature", F.col("tree") * 2 * LONGEST + 1, F.lit(2 * depth)).alias("prefix")
     )
     crowded = in_tries.groupBy("tree", "prefix").agg(F.count("*").alias("size")).filter(F.col("size") > 1)
     members = materialize(in_tries.join(crowded, ["tree", "prefix"]), "trie-nodes")
     with_signatures = members.join(nodes.select("node", "signature"), "node")
     dealt = in_blocks(with_signatures, "size", NODE_ROWS, "node")
     keyed = dealt.select(
-        F.concat_ws("/", "tree", F.hex("prefix"), "lo", "hi").alias("key"), "node", "signature"
+        F.concat_ws("/", "tree", F.hex("prefix"), "lo", "hi").alias("key"), "tree", "block", "node", "signature"
     )
 
     def link(group: pd.DataFrame) -> pd.DataFrame | None:
         if len(group) < 2:
             return None
+        group = group.sort_values("node")
         rows = np.frombuffer(b"".join(group["signature"]), dtype="<u2").reshape(len(group), -1)
+        begin = int(group["tree"].iloc[0]) * LONGEST
+        made = trie_links(rows, rows[:, begin : begin + LONGEST], depth, least_equal, group["block"].to_numpy())
         node = group["node"].to_numpy()
-        root = components(lambda i, others: (rows[others] == rows[i]).sum(axis=1) >= least_equal, len(rows))
-        apart = root != np.arange(len(root))
-        return pd.DataFrame({"a": node[apart], "b": node[root[apart]]})
+        return pd.DataFrame([(node[a], node[b]) for a, b in made], columns=["a", "b"]) if made else None
 
     return per_group(keyed, "key", link, "a long, b long")
 
@@ -204,7 +241,7 @@ def join_similar(
     """A row per row of ``docs``: its id, text_hash, class_id, n_links, n_copies, and is_first (the row's text
     is the class's first by id and hash)."""
     depth = prefix_depth(percent / 100, trees, recall)
-    count = trees * depth
+    count = trees * LONGEST
     error = (percent / 100 * (1 - percent / 100) / count) ** 0.5
     least_equal = int(count * max(0.0, percent / 100 - 5 * error))
     whole = docs.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
