@@ -1,4 +1,4 @@
-"""Corpus-level text jobs: language, spelling and page scraping."""
+"""Corpus-level text jobs: language and spelling."""
 
 from __future__ import annotations
 
@@ -317,24 +317,3 @@ def correct_words(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
     two = _choice(spelling_candidates(rest, known, 2), _two_edits(w, c))
     best = one.unionByName(two)
     return words.join(best, "word", "left").select("word", F.coalesce("found", "word").alias("correction"))
-
-
-def list_links(pages: DataFrame, page_id: str, html: str, container: str | None = None) -> DataFrame:
-    """Targets and texts of the links in list items, in page order.
-
-    Items and links may have any attributes, in any order and in either quote;
-    tags inside a link's text are dropped. ``container`` is a class: only lists
-    inside the first element of that class and up to its end tag are read.
-    """
-    scope = F.col(html)
-    if container is not None:
-        opening = rf"""(?s)<(\w+)\b[^>]*\bclass\s*=\s*["'][^"']*(?<![\w-]){container}(?![\w-])[^"']*["'][^>]*>(.*?)</\1>"""
-        scope = F.regexp_extract(scope, opening, 2)
-    item = r"(?s)<li\b[^>]*>\s*<a\b(?:\s[^>]*)?>.*?</a>"
-    links = pages.select(page_id, F.posexplode(F.regexp_extract_all(scope, F.lit(item), F.lit(0))).alias("place", "link"))
-    inside = F.regexp_extract("link", r"(?s)<a\b([^>]*)>", 1)
-    quoted = F.regexp_extract(inside, r"""(?:^|\s)href\s*=\s*(?:"([^"]*)"|'([^']*)')""", 1)
-    single = F.regexp_extract(inside, r"""(?:^|\s)href\s*=\s*(?:"([^"]*)"|'([^']*)')""", 2)
-    title = F.regexp_replace(F.regexp_extract("link", r"(?s)<a\b[^>]*>(.*?)</a>", 1), "<[^>]*>", "")
-    has_target = inside.rlike(r"""(?:^|\s)href\s*=\s*["']""")
-    return links.filter(has_target).select(page_id, "place", F.concat(quoted, single).alias("target"), title.alias("title"))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tallyloom.operators import corpus, joins
+from tallyloom.operators import corpus, joins, markup
 from tallyloom.plans.registry import Tables, query
 
 # To measure the accuracy, a fifth of the texts, by a hash of their id, is held out of the learning.
@@ -85,7 +85,18 @@ _ITEM = '<li>\\s*<a\\s+href="([^"]*)"[^>]*>([^<]*)</a>'
                  unnest(range(1, len(regexp_extract_all(html, '{_ITEM}')) + 1)) AS i FROM pages)""",
 )
 def scraped(t: Tables):
-    return corpus.list_links(t.pages, "page_id", "html")
+    return markup.list_links(t.pages, "page_id", "html")
+
+
+@query(
+    "txt_scrape_paired",
+    r"""SELECT page_id, CAST(i - 1 AS INTEGER) AS place, links[i] AS link, headings[i] AS heading FROM
+         (SELECT page_id, links, headings, unnest(range(1, greatest(len(links), len(headings)) + 1)) AS i FROM
+           (SELECT page_id, regexp_extract_all(html, '<li>\s*<a\s+href="[^"]*"[^>]*>([^<]*)</a>', 1) AS links,
+                   regexp_extract_all(html, '(?s)<h1>(.*?)</h1>', 1) AS headings FROM pages))""",
+)
+def paired(t: Tables):
+    return markup.paired_elements(t.pages, "page_id", "html", {"link": "nav li a", "heading": "article > h1"})
 
 
 _LETTERS = [

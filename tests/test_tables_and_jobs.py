@@ -7,7 +7,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators import corpus, tables
+from tallyloom.operators import corpus, markup, tables
 from tallyloom.plans import load_all
 from tallyloom.session import scratch_path
 from tallyloom.sources import readers, sinks
@@ -178,9 +178,9 @@ def test_links_of_any_form(spark):
     <ul><li class="i"><a class="k" href="/x">X <b>bold</b></a></li><li> <a href='/y'
     id="1">Y &amp; Z</a></li><li><a>none</a></li><li><a data-href="/no">no</a></li></ul></div><a href="/no">no</a>"""
     pages = spark.createDataFrame([(1, html), (2, None), (3, "")], "id int, html string")
-    got = [tuple(r)[2:] for r in corpus.list_links(pages, "id", "html").collect()]
+    got = [tuple(r)[2:] for r in markup.list_links(pages, "id", "html").collect()]
     assert got == [("/zero", "0"), ("/x", "X bold"), ("/y", "Y &amp; Z")]
-    scoped = [tuple(r) for r in corpus.list_links(pages, "id", "html", container="main-list").collect()]
+    scoped = [tuple(r) for r in markup.list_links(pages, "id", "html", container="main-list").collect()]
     assert scoped == [(1, 0, "/x", "X bold"), (1, 1, "/y", "Y &amp; Z")]
 
 
