@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tallyloom.operators import tables
+from tallyloom.operators import keyed_table, tables
 from tallyloom.plans.registry import Tables, query
 from tallyloom.session import scratch_path
 
@@ -124,3 +124,43 @@ def inserted_with_keys(t: Tables):
     more = t.customer.select((-1 - F.col("c_custkey")).alias("id"), F.col("c_custkey").alias("customer"))
     customers = t.customer.select(F.col("c_custkey").alias("customer"))
     return tables.insert_checked(orders, more, ["id"], customers, ["customer"])
+
+
+def _orders(t: Tables) -> keyed_table.KeyedTable:
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    return keyed_table.create(orders, scratch_path(t.spark, "orders"), ["o_orderkey"], buckets=16)
+
+
+@query(
+    "tbl_update_buckets",
+    """SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 1000 = 7 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice
+       FROM orders""",
+)
+def updated_in_buckets(t: Tables):
+    table = _orders(t)
+    changes = table.read().filter("o_orderkey % 1000 = 7").withColumn("o_orderstatus", F.lit("X"))
+    table.update(changes.unionByName(changes.withColumn("o_orderkey", -1 - F.col("o_orderkey"))))
+    return table.read()
+
+
+@query("tbl_delete_buckets", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_totalprice >= 50000")
+def deleted_in_buckets(t: Tables):
+    table = _orders(t)
+    table.delete(table.read().filter("o_totalprice < 50000").select("o_orderkey"))
+    return table.read()
+
+
+@query(
+    "tbl_insert_buckets",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders
+       UNION ALL SELECT -1 - l_orderkey, min(l_suppkey), 'L', round(min(l_quantity), 2) FROM lineitem WHERE l_linenumber <= 2 GROUP BY l_orderkey""",
+)
+def inserted_in_buckets(t: Tables):
+    table = _orders(t)
+    lines = t.lineitem.filter("l_linenumber <= 2").groupBy("l_orderkey").agg(F.min("l_suppkey").alias("s"), F.min("l_quantity").alias("q"))
+    new = lines.select(
+        (-1 - F.col("l_orderkey")).alias("o_orderkey"), F.col("s").alias("o_custkey"), F.lit("L").alias("o_orderstatus"), F.round("q", 2).alias("o_totalprice")
+    )
+    taken = table.read().withColumn("o_orderstatus", F.lit("T"))
+    table.insert_new(new.unionByName(taken))
+    return table.read()
