@@ -2,6 +2,10 @@
 
 ``BENCH_SF_DIR`` names the data folder, ``BENCH_CPUS`` the number of cores,
 ``BENCH_RUNS`` the measured runs per query after one warm-up; the median counts.
+A line per query goes to standard error as it ends. A run of more than
+``BENCH_LIMIT`` seconds (60) is stopped, and after ``BENCH_TOTAL`` seconds
+(1500) no further query is begun; ``stopped`` in the JSON names these queries,
+which are not in the total.
 """
 
 from __future__ import annotations
@@ -10,6 +14,7 @@ import json
 import os
 import statistics
 import sys
+import threading
 import time
 
 from tallyloom.plans import load_all
@@ -22,16 +27,35 @@ HEADLINE = (
     "rsh_pivot_table_cols", "rsh_melt", "rsh_cube_rows", "win_rolling", "win_top_n", "win_rank_all", "win_change",
     "win_lap", "win_batches", "srt_order", "srt_top_k", "set_except_all", "str_regex", "str_phone", "str_email",
     "dat_anchor", "dat_range", "arr_matmul", "arr_elementwise", "jsn_parse", "tbl_update", "tbl_constraints",
-    "udf_group", "str_unescape", "txt_language", "txt_spell", "txt_scrape", "src_csv", "snk_by_group",
+    "udf_group", "udf_group_any", "jon_band_table", "tbl_update_buckets", "txt_language", "txt_spell", "txt_scrape", "src_csv", "snk_by_group",
 )
 
 
 LONG = 5.0  # seconds
 
 
-def timed(run) -> float:
+def timed(spark, run, limit: float) -> float:
+    """Seconds of a run; raises TimeoutError when it is stopped at the limit."""
+    name, over = f"bench-{time.monotonic_ns()}", threading.Event()
+
+    def stop() -> None:
+        over.set()
+        spark.interruptTag(name)
+
+    timer = threading.Timer(limit, stop)
+    timer.daemon = True
+    spark.addTag(name)
+    timer.start()
     start = time.perf_counter()
-    run().write.format("noop").mode("overwrite").save()
+    try:
+        run().write.format("noop").mode("overwrite").save()
+    except Exception as e:
+        if over.is_set():
+            raise TimeoutError(f"stopped after {limit} s") from e
+        raise
+    finally:
+        timer.cancel()
+        spark.removeTag(name)
     return time.perf_counter() - start
 
 
@@ -39,19 +63,28 @@ def main() -> None:
     root = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "4"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
+    limit, total = float(os.environ.get("BENCH_LIMIT", "60")), float(os.environ.get("BENCH_TOTAL", "1500"))
     names = sys.argv[1:] or HEADLINE
     spark = build_session(f"local[{cpus}]", cpus)
     spark.sparkContext.setLogLevel("ERROR")
-    found = load_all()
-    seconds = {}
+    found, began = load_all(), time.perf_counter()
+    seconds, stopped = {}, {}
     for name in names:
+        if time.perf_counter() - began > total:
+            stopped[name] = "not begun"
+            continue
+
         def run(q=found[name]):
             return q.run(spark, root)
 
-        warm_up = timed(run)
-        # a long query varies little, so one measured run is enough
-        repeats = 1 if warm_up > LONG else runs
-        seconds[name] = round(statistics.median(timed(run) for _ in range(repeats)), 3)
+        try:
+            warm_up = timed(spark, run, limit)
+            # a long query varies little, so one measured run is enough
+            repeats = 1 if warm_up > LONG else runs
+            seconds[name] = round(statistics.median(timed(spark, run, limit) for _ in range(repeats)), 3)
+        except TimeoutError as e:
+            stopped[name] = str(e)
+        print(f"{name} {seconds.get(name, stopped.get(name))}", file=sys.stderr, flush=True)
     print(
         json.dumps(
             {
@@ -60,6 +93,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "sf": os.path.basename(root.rstrip("/")).removeprefix("sf"),
+                **({"stopped": stopped} if stopped else {}),
             }
         )
     )

@@ -227,6 +227,54 @@ def parsed_json(t: Tables):
     )
 
 
+_MIXED = """('{"kind": "' || event_type || '", "props": ' || props || ', "value": ' || CASE WHEN event_id % 4 = 0 THEN 'null' ELSE CAST(value AS VARCHAR) END
+          || ', "flags": [true, ' || event_id || ', "x", {"deep": false}, 1.5]' || CASE WHEN event_id % 3 = 0 THEN ', "more": []}' ELSE '}' END)"""
+
+
+@query(
+    "jsn_variant",
+    f"""SELECT event_id, json_extract_string(j, '$.kind') AS kind, CAST(json_extract_string(j, '$.props.k') AS BIGINT) AS k,
+               CASE WHEN event_id % 4 = 0 THEN 'null' ELSE 'number' END AS value_kind, value_read,
+               true AS flag, event_id AS number, 'x' AS word, false AS deep, 'record' AS fourth, 'number' AS fifth,
+               CASE WHEN event_id % 3 = 0 THEN 'list' END AS more, CAST(NULL AS BIGINT) AS text_as_number
+        FROM (SELECT event_id, {_MIXED} AS j, CASE WHEN event_id % 4 <> 0 THEN value END AS value_read FROM events)""",
+)
+def variants(t: Tables):
+    value = F.when(F.col("event_id") % 4 == 0, "null").otherwise(F.col("value").cast("string"))
+    flags = F.concat(F.lit(', "flags": [true, '), "event_id", F.lit(', "x", {"deep": false}, 1.5]'))
+    end = F.when(F.col("event_id") % 3 == 0, ', "more": []}').otherwise("}")
+    written = F.concat(F.lit('{"kind": "'), "event_type", F.lit('", "props": '), "props", F.lit(', "value": '), value, flags, end)
+    v = F.col("v")
+    kind = F.when(maps.json_kind(v, "$.value") == "whole", "number").otherwise(maps.json_kind(v, "$.value"))
+    return t.events.select("event_id", maps.json_value(written).alias("v")).select(
+        "event_id",
+        maps.json_at(v, "$.kind", "string").alias("kind"),
+        maps.json_at(v, "$.props.k", "bigint").alias("k"),
+        kind.alias("value_kind"),
+        maps.json_at(v, "$.value", "double").alias("value_read"),
+        maps.json_at(v, "$.flags[0]", "boolean").alias("flag"),
+        maps.json_at(v, "$.flags[1]", "bigint").alias("number"),
+        maps.json_at(v, "$.flags[2]", "string").alias("word"),
+        maps.json_at(v, "$.flags[3].deep", "boolean").alias("deep"),
+        maps.json_kind(v, "$.flags[3]").alias("fourth"),
+        maps.json_kind(v, "$.flags[4]").alias("fifth"),
+        maps.json_kind(v, "$.more").alias("more"),
+        maps.json_at(v, "$.kind", "bigint").alias("text_as_number"),
+    )
+
+
+@query(
+    "jsn_members",
+    """SELECT event_id, key, CAST(json_extract_string(props, '$.' || key) AS BIGINT) AS whole FROM
+         (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events)""",
+)
+def members(t: Tables):
+    """The members of records whose keys are not known beforehand."""
+    return maps.json_members(t.events.select("event_id", maps.json_value(F.col("props")).alias("v")), "v").select(
+        "event_id", "key", maps.json_at(F.col("value"), "$", "bigint").alias("whole")
+    )
+
+
 @query(
     "jsn_write",
     "SELECT event_id, CAST(json_object('event_id', event_id, 'user_id', user_id, 'event_type', event_type) AS VARCHAR) AS text FROM events",

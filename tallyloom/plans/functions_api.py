@@ -1,10 +1,11 @@
 """Functions applied to columns, cells, rows and groups."""
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text
-from tallyloom.operators.apply import apply_groups, reduce_groups
+from tallyloom.operators.apply import apply_with_state, reduce_groups
 from tallyloom.operators.clean import apply_columns
 from tallyloom.plans.registry import Tables, query
 
@@ -52,16 +53,28 @@ def over_groups(t: Tables):
 
 @query(
     "udf_group_any",
-    """SELECT p_brand, p_partkey, round(p_retailprice - avg(p_retailprice) OVER (PARTITION BY p_brand), 6) AS above_mean
-       FROM part""",
+    # whole cents, so that neither side's mean depends on the order of the rows
+    """SELECT p_brand, p_partkey, round((cents * count(*) OVER g - sum(cents) OVER g) / (100.0 * count(*) OVER g)::DOUBLE, 6) AS above_mean
+       FROM (SELECT p_brand, p_partkey, round(p_retailprice * 100) AS cents FROM part) WINDOW g AS (PARTITION BY p_brand)""",
 )
 def over_whole_groups(t: Tables):
+    def totals(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"n": [len(rows)], "total": [int((rows["p_retailprice"] * 100).round().astype("int64").sum())]})
+
+    def added(states: pd.DataFrame) -> pd.DataFrame:
+        return states[["n", "total"]].sum().to_frame().T
+
     def centred(rows: pd.DataFrame) -> pd.DataFrame:
-        above = (rows["p_retailprice"] - rows["p_retailprice"].mean()).round(6)
-        return rows.assign(above_mean=above)[["p_brand", "p_partkey", "above_mean"]]
+        cents = (rows["p_retailprice"] * 100).round()
+        above = (cents * rows["n"] - rows["total"]) / (100.0 * rows["n"])
+        # halves away from zero, as SQL rounds them
+        rounded = np.sign(above) * np.floor(above.abs() * 1e6 + 0.5) / 1e6
+        return rows.assign(above_mean=rounded)[["p_brand", "p_partkey", "above_mean"]]
 
     rows = t.part.select("p_brand", "p_partkey", "p_retailprice")
-    return apply_groups(rows, ["p_brand"], centred, "p_brand string, p_partkey bigint, above_mean double")
+    return apply_with_state(
+        rows, ["p_brand"], totals, added, "n bigint, total bigint", centred, "p_brand string, p_partkey bigint, above_mean double"
+    )
 
 
 @query(

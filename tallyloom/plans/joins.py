@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallyloom.functions.arrays import zip_rows
-from tallyloom.operators import joins
+from tallyloom.operators import intervals, joins
 from tallyloom.plans.registry import Tables, query
 
 
@@ -162,3 +162,24 @@ _PRICE_BANDS = [(0.0, 100000.0, "low"), (100000.0, 250000.0, "middle"), (250000.
 def banded(t: Tables):
     band = joins.band_of(F.col("o_totalprice"), _PRICE_BANDS)
     return t.orders.select("o_orderkey", "o_totalprice", band.alias("band"))
+
+
+# bands of all widths: overlapping, inside each other, of one point, upside down, and open at either end
+_BANDS = """SELECT s_suppkey AS i, s_name AS name,
+                   CASE WHEN s_suppkey % 50 = 1 THEN NULL ELSE s_acctbal END AS lo,
+                   CASE WHEN s_suppkey % 50 = 2 THEN NULL WHEN s_suppkey % 3 = 0 THEN s_acctbal + s_suppkey % 40 * 5
+                        WHEN s_suppkey % 11 = 0 THEN s_acctbal - 1 ELSE s_acctbal + 0.25 END AS hi FROM supplier"""
+
+
+@query(
+    "jon_band_table",
+    f"""SELECT o_orderkey, o_totalprice, name AS band FROM orders LEFT JOIN
+          (SELECT o_orderkey, arg_min(name, i) AS name FROM orders JOIN ({_BANDS})
+           ON (lo IS NULL OR o_totalprice / 50 >= lo) AND (hi IS NULL OR o_totalprice / 50 <= hi) GROUP BY o_orderkey) USING (o_orderkey)""",
+)
+def banded_by_table(t: Tables):
+    k, balance = F.col("s_suppkey"), F.col("s_acctbal")
+    high = F.when(k % 50 == 2, F.lit(None)).when(k % 3 == 0, balance + k % 40 * 5).when(k % 11 == 0, balance - 1).otherwise(balance + 0.25)
+    bands = t.supplier.select(k.alias("i"), F.col("s_name").alias("name"), F.when(k % 50 != 1, balance).alias("lo"), high.alias("hi"))
+    prices = t.orders.select("o_orderkey", "o_totalprice", (F.col("o_totalprice") / 50).alias("x"))
+    return intervals.first_bands(prices, "x", bands, "lo", "hi", "i", "name", "band").drop("x")

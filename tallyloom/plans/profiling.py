@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.operators import profile
+from tallyloom.operators import profile, sketches
 from tallyloom.operators.quantiles import describe
 from tallyloom.plans.registry import Tables, query
+from tallyloom.session import scratch_path
 
 
 @query(
@@ -159,3 +160,20 @@ def other_columns(t: Tables):
 )
 def sample(t: Tables):
     return profile.sample_rows(t.orders.select("o_orderkey", "o_totalprice"), "o_orderkey", 50, seed=11)
+
+
+@query(
+    "prf_nunique_sketch",
+    """SELECT 'user_id' AS "column", count(DISTINCT user_id) AS exact, true AS within_bound FROM events
+       UNION ALL SELECT 'event_id', count(DISTINCT event_id), true FROM events
+       UNION ALL SELECT 'event_type', count(DISTINCT event_type), true FROM events""",
+)
+def sketched_counts(t: Tables):
+    """Estimates from the days' sketches against the exact counts; the bound is four standard errors."""
+    columns, path = ["user_id", "event_id", "event_type"], scratch_path(t.spark, "day-sketches")
+    sketches.keep_days(t.events, F.col("ts"), columns, path)
+    estimates = sketches.distinct_estimates(t.spark, path, columns).select(*[F.col(c).alias(f"about_{c}") for c in columns])
+    both = profile.distinct_counts(t.events.select(*columns)).join(estimates)
+    near = [F.abs(F.col(f"about_{c}") - F.col(c)) <= F.greatest(F.lit(1.0), 4 * sketches.standard_error() * F.col(c)) for c in columns]
+    rows = [F.struct(F.lit(c).alias("column"), F.col(c).alias("exact"), ok.alias("within_bound")) for c, ok in zip(columns, near, strict=True)]
+    return both.select(F.inline(F.array(*rows)))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallyloom.operators.joins import keep_missing
-from tallyloom.operators.sets import bag_difference
+from tallyloom.operators.sets import bag_difference, no_repeats, same_bag, same_set
 from tallyloom.plans.registry import Tables, query
 
 
@@ -80,3 +80,29 @@ def equal_sets(t: Tables):
         (as_set(words) == as_set(F.array(F.get(words, F.lit(1)), F.get(words, F.lit(0))))).alias("same_set"),
         (F.size(F.array_distinct(letters)) == F.size(letters)).alias("no_repeats"),
     )
+
+
+@query(
+    "set_equal_tables",
+    """WITH l AS (SELECT DISTINCT l_orderkey AS k FROM lineitem), o AS (SELECT o_orderkey AS k FROM orders),
+            c AS (SELECT o_custkey AS k FROM orders)
+       SELECT 'orders with and of lines' AS pair, (SELECT count(*) FROM ((FROM l EXCEPT FROM o) UNION ALL (FROM o EXCEPT FROM l))) = 0 AS same_set,
+              (SELECT count(*) FROM ((FROM (SELECT l_orderkey FROM lineitem) EXCEPT ALL FROM o) UNION ALL (FROM o EXCEPT ALL FROM (SELECT l_orderkey FROM lineitem)))) = 0 AS same_rows,
+              (SELECT count(*) = count(DISTINCT k) FROM o) AS no_repeats
+       UNION ALL
+       SELECT 'customers of orders', (SELECT count(*) FROM ((FROM c EXCEPT SELECT c_custkey FROM customer) UNION ALL (SELECT c_custkey FROM customer EXCEPT FROM c))) = 0,
+              (SELECT count(*) FROM c) = (SELECT count(*) FROM customer) AND (SELECT count(*) FROM (FROM c EXCEPT ALL SELECT c_custkey FROM customer)) = 0,
+              (SELECT count(*) = count(DISTINCT k) FROM c)
+       UNION ALL
+       SELECT 'lines twice over', true, true, (SELECT count(*) FROM (SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem GROUP BY ALL HAVING count(*) > 1)) = 0""",
+)
+def equal_tables(t: Tables):
+    o = t.orders.select(F.col("o_orderkey").alias("k"))
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+    pairs = {
+        "orders with and of lines": (o, t.lineitem.select(F.col("l_orderkey").alias("k"))),
+        "customers of orders": (t.orders.select(F.col("o_custkey").alias("k")), t.customer.select(F.col("c_custkey").alias("k"))),
+        "lines twice over": (lines, lines.repartition("l_partkey")),
+    }
+    rows = [(name, same_set(a, b), same_bag(a, b), no_repeats(a)) for name, (a, b) in pairs.items()]
+    return t.spark.createDataFrame(rows, "pair string, same_set boolean, same_rows boolean, no_repeats boolean")

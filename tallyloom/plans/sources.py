@@ -146,11 +146,6 @@ def table_scan(t: Tables):
     )
 
 
-@query("src_catalog")
-def file_catalogue(t: Tables):
-    return readers.list_files(t.spark, t.root)
-
-
 @query(
     "src_generate",
     """WITH u AS (SELECT o_orderkey AS k,

@@ -198,13 +198,3 @@ def accepted(t: Tables):
 @query("str_base", "SELECT o_orderkey, hex(o_orderkey) AS hex, bin(o_orderkey) AS bin FROM orders")
 def bases(t: Tables):
     return t.orders.select("o_orderkey", F.hex("o_orderkey").alias("hex"), F.bin("o_orderkey").alias("bin"))
-
-
-@query(
-    "str_unescape",
-    # the entities that occur in the pages; the old ones also count without their semicolon
-    """SELECT page_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
-              html, '&middot;?', '·', 'g'), '&copy;?', '©', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g')) AS digest FROM pages""",
-)
-def unescaped(t: Tables):
-    return t.pages.select("page_id", F.md5(text.unescape("html").cast("binary")).alias("digest"))

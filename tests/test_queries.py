@@ -3,6 +3,7 @@
 import pytest
 
 from tallyloom.plans import load_all
+from tallyloom.sources import readers
 from tests.oracle import compare, connect
 
 ROOT = "/root/testdata/sf0.001"
@@ -31,7 +32,7 @@ def test_gives_rows(spark, name):
 
 
 def test_file_catalogue_reads_no_contents(spark):
-    df = QUERIES["src_catalog"].run(spark, ROOT)
+    df = readers.list_files(spark, ROOT)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<path:string,length:bigint>" in plan
     rows = {r["name"]: r for r in df.collect()}
