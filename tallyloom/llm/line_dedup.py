@@ -15,8 +15,7 @@ first ``min_lines`` lines of every other one are a later copy. Copies that
 follow each other line by line make up one maximal repeated run. The last of
 the rounds may overlap (three lines are lines 1-2 and 2-3).
 
-With ``min_words``, a repeated run of fewer lines is a copy too if it has that many
-words. The doubling then steps through every depth up to ``min_lines``; each depth's
+A repeated run of fewer lines is a copy too if it has ``min_words`` words. The doubling then steps through every depth up to ``min_lines``; each depth's
 later copies with enough words are taken from its ranks and united with the others.
 
 Only lines with a word are compared, by 128 bits of hash; a blank line goes with
@@ -106,7 +105,8 @@ def ranks_by_depth(lines: DataFrame, depth: int) -> Iterator[tuple[int, DataFram
 def copies_of(ranked: DataFrame, depth: int) -> DataFrame:
     """Document and line where each later copy of a run of ``depth`` lines begins, and where it ends."""
     place = F.struct(*_DOC, "at")
-    first = ranked.groupBy("rank").agg(F.min(place).alias("_first")).withColumnRenamed("rank", "_rank")
+    # written, so that the join reads it by an exchange of its own and AQE can split the rank of a very common run
+    first = materialize(ranked.groupBy(F.col("rank").alias("_rank")).agg(F.min(place).alias("_first")), "first-suffixes")
     copies = ranked.join(first, F.col("rank") == F.col("_rank")).filter(place > F.col("_first"))
     return copies.select(*_DOC, "at", (F.col("at") + depth - 1).alias("end"))
 
@@ -133,10 +133,10 @@ def later_copies_by_words(lines: DataFrame, min_lines: int, min_words: int) -> D
 
 
 def drop_repeated_lines(
-    docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_lines: int = 3, min_words: int | None = None
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_lines: int = 3, min_words: int | None = 10
 ) -> DataFrame:
-    """``docs`` without the later copies of runs of ``min_lines`` lines or more (or of ``min_words`` words or
-    more, if given, however few their lines), and with n_lines, n_removed (lines with a word) and n_runs
+    """``docs`` without the later copies of runs of ``min_lines`` lines or more, or of ``min_words`` words or
+    more however few their lines (None: by lines alone), and with n_lines, n_removed (lines with a word) and n_runs
     (maximal runs deleted)."""
     if min_lines < 1:
         raise ValueError("a run has at least one line")

@@ -83,20 +83,13 @@ def op6_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     return substring_dedup.remove_repeats(docs).drop("text")
 
 
-@query("op7_line_dedup", sql.line_dedup_sql())
+@query("op7_line_dedup", sql.line_dedup_words_sql())
 def op7_line_dedup(spark: SparkSession, root: str) -> DataFrame:
     docs = read_table(spark, root, "documents").select("doc_id", "text")
     cut = line_dedup.drop_repeated_lines(docs)
     return cut.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
 
 
-@query("op7_line_dedup_words", sql.line_dedup_words_sql())
-def op7_line_dedup_words(spark: SparkSession, root: str) -> DataFrame:
-    docs = read_table(spark, root, "documents").select("doc_id", "text")
-    cut = line_dedup.drop_repeated_lines(docs, min_words=10)
-    return cut.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
-
-
 @query("op8_packed_ids")
 def op8_packed_ids(spark: SparkSession, root: str) -> DataFrame:
     docs = read_table(spark, root, "documents")

@@ -75,18 +75,20 @@ _BREAK = re.compile(r"\n(?:[\x20\x09-\x0D]*\n)?")
 _WORD = re.compile(r"[^\x20\x09-\x0D]")
 
 
-def line_runs(docs, min_lines=3):
+def line_runs(docs, min_lines=3, min_words=None):
     """[(doc_id, n_removed, new text)]; ids must differ."""
     split = {d: ([], []) if t is None else (_BREAK.split(t), _BREAK.findall(t)) for d, t in docs}
     seen, gone = set(), collections.defaultdict(set)
     for d in sorted(split):
         lines = split[d][0]
-        for i in range(len(lines) - min_lines + 1):
-            run = tuple(lines[i : i + min_lines])
-            if all(_WORD.search(x) for x in run):
-                if run in seen:
-                    gone[d].update(range(i, i + min_lines))
-                seen.add(run)
+        for size in range(1 if min_words else min_lines, min_lines + 1):
+            for i in range(len(lines) - size + 1):
+                run = tuple(lines[i : i + size])
+                long_enough = size == min_lines or sum(len(words(x)) for x in run) >= min_words
+                if long_enough and all(_WORD.search(x) for x in run):
+                    if run in seen:
+                        gone[d].update(range(i, i + size))
+                    seen.add(run)
     out = []
     for d, t in docs:
         lines, breaks = split[d]

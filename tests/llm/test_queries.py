@@ -38,11 +38,11 @@ def test_agrees_with_sql(spark, name):
     assert compare(QUERIES[name](spark, ROOT), connect(ROOT), SQL[name]) == ""
 
 
-def test_all_ten_are_there():
+def test_all_thirteen_are_there():
     import __spark_entry__
 
     found = {int(q[2:].split("_")[0]) for q in __spark_entry__.queries() if q.startswith("op")}
-    assert found == set(range(1, 11)) and "pipeline" in __spark_entry__.queries()
+    assert found == set(range(1, 14)) and "pipeline" in __spark_entry__.queries()
 
 
 def test_token_counts(spark, docs, ids):
@@ -139,7 +139,7 @@ def test_graph_search(spark):
 def test_pipeline(spark, docs):
     rows = spark.read.parquet(f"{ROOT}/documents.parquet").select("doc_id", "text", "source").collect()
     left = [(r["doc_id"], r["text"]) for r in rows if not brute.base_failed(r["text"])]
-    left = [(d, new) for d, gone, new in brute.line_runs(left) if not gone or brute.words(new)]
+    left = [(d, new) for d, gone, new in brute.line_runs(left, min_words=10) if not gone or brute.words(new)]
     classes = brute.similar(left)
     left = [(d, t) for d, t in left if classes[d][0] == d]
     texts = dict(left)
