@@ -11,12 +11,15 @@ Copies of a vector are one node, which carries the smallest ids; as ties go to
 smaller ids, more of them than are asked for can never be wanted. So a large
 group of copies neither fills a shard nor a beam.
 
-All rows are indexed. Queries are cut into blocks, and a block meets a shard in
-one task; the index is a written table, so a lost executor costs one block.
+All rows are indexed. Queries travel to the shards: a task walks one shard's graph
+for all queries, or for a block of ``block_rows`` where there are more, so the
+index is shuffled once for that many queries. It is a written table, so a lost
+executor costs one block.
 
 Defined results: vectors that are null, empty or zero, or hold a null or a
 non-finite component, take no part; vectors meet only those of their own length;
-rows alike in id and vector are one row, and a query's own id is no answer to
+rows alike in id and vector are one row; an id with several vectors is as near as
+the nearest pair of its vectors and the query's; a query's own id is no answer to
 it; null ids take no part; fewer candidates than asked for are all returned; an
 empty table gives an empty result; extra columns are not read.
 """
@@ -215,7 +218,7 @@ def search(
     k: int,
     copies: int,
     beam: int = 192,
-    block_rows: int = 2048,
+    block_rows: int = 65_536,
 ) -> DataFrame:
     """The ``k`` nearest ids that each query's walk through every shard finds: query_id, rank, vec_id, score."""
     asked = materialize(
@@ -241,7 +244,7 @@ def search(
         held = np.frombuffer(g["held"], dtype=np.int32)
         graph = np.frombuffer(g["graph"], dtype=np.int32).reshape(g["n"], -1)
         x = unit(raw).astype(np.float32)
-        out = []
+        out: dict[str, list[np.ndarray]] = {"query_id": [], "vec_id": [], "score": []}
         for begin in range(0, len(block), _BATCH):
             some = block.iloc[begin : begin + _BATCH]
             q = np.stack(some["v"].to_numpy()).astype(np.float64)
@@ -255,8 +258,9 @@ def search(
                 scores = np.repeat(score[r][real], each)
                 scores, found = scores[found != own[r]], found[found != own[r]]
                 best = np.lexsort((found, -scores))[:k]
-                out.append(pd.DataFrame({"query_id": own[r], "vec_id": found[best], "score": scores[best]}))
-        return pd.concat(out) if out else empty
+                for c, values in (("query_id", np.full(len(best), own[r])), ("vec_id", found[best]), ("score", scores[best])):
+                    out[c].append(values)
+        return pd.DataFrame({c: np.concatenate(values) for c, values in out.items()})
 
     found = (
         replicated.groupBy("dim", "shard", "block")
@@ -264,7 +268,8 @@ def search(
         .applyInPandas(walk, "query_id long, vec_id long, score double")
     )
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", place).filter(F.col("rank") <= k)
+    nearest_pair = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return nearest_pair.withColumn("rank", place).filter(F.col("rank") <= k)
 
 
 def nearest(

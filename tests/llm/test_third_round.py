@@ -258,3 +258,31 @@ def test_forest_joins_what_shares_the_shortest_prefix():
             return root
 
         assert parts(got) == parts(edges)
+
+
+def test_ids_with_several_vectors_are_as_near_as_the_nearest(spark):
+    from tallyloom.llm import graph_search
+
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 1.0]), (2, [1.0, 0.1]), (3, [1.0, 0.5]), (4, [-1.0, 0.0]), (1, [0.0, -1.0]), (5, [0.1, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    got = graph_search.nearest(df, df.filter("vec_id = 1"), "vec_id", "v", k=3)
+    cos = lambda a, b: float(np.dot(a, b) / np.linalg.norm(a) / np.linalg.norm(b))
+    own = [v for i, v in rows if i == 1]
+    best = {i: max(cos(a, v) for a in own for j, v in rows if j == i) for i in (2, 3, 4, 5)}
+    want = sorted((-s, i) for i, s in best.items())[:3]
+    found = [(r["vec_id"], r["score"]) for r in sorted(got.collect(), key=lambda r: r["rank"])]
+    assert [i for i, _ in found] == [i for _, i in want] and all(abs(s + w) < 1e-12 for (_, s), (w, _) in zip(found, want, strict=True))
+
+
+def test_pipeline_of_odd_rows_and_of_none(spark):
+    import corpus_pipeline
+    from tallyloom.session import scratch_path
+
+    good = " ".join(f"word{i} and{i} then{i}" for i in range(40))
+    rows = [(1, good, "en", "s", 900), (2, None, None, None, None), (None, good + " more", "en", "s", 5), (3, "", "en", "s", 0), (4, good, "en", None, 1), (1, good, "en", "s", 900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for some, least in ((docs, 1), (docs.limit(0), 0)):
+        root = scratch_path(spark, "odd")
+        some.write.parquet(f"{root}/documents.parquet")
+        got = corpus_pipeline.run(spark, root).collect()
+        assert len(got) >= least and {r["doc_id"] for r in got} <= {1, 4, None}
