@@ -166,11 +166,14 @@ def _candidates(nodes: DataFrame, trees: int, depth: int, least_equal: int) -> D
     def link(group: pd.DataFrame) -> pd.DataFrame | None:
         if len(group) < 2:
             return None
-        group = group.sort_values("node")
-        rows = np.frombuffer(b"".join(group["signature"]), dtype="<u2").reshape(len(group), -1)
-        begin = int(group["tree"].iloc[0]) * LONGEST
-        made = trie_links(rows, rows[:, begin : begin + LONGEST], depth, least_equal, group["block"].to_numpy())
         node = group["node"].to_numpy()
+        order = np.argsort(node)
+        node = node[order]
+        rows = np.frombuffer(b"".join(group["signature"].to_numpy()[order]), dtype="<u2").reshape(len(group), -1)
+        if len(group) == 2:  # most trie nodes; no level of a trie of two rows joins more than another
+            return pd.DataFrame({"a": node[:1], "b": node[1:]}) if (rows[0] == rows[1]).sum() >= least_equal else None
+        begin = int(group["tree"].iloc[0]) * LONGEST
+        made = trie_links(rows, rows[:, begin : begin + LONGEST], depth, least_equal, group["block"].to_numpy()[order])
         return pd.DataFrame([(node[a], node[b]) for a, b in made], columns=["a", "b"]) if made else None
 
     return per_group(keyed, "key", link, "a long, b long")
