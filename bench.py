@@ -36,16 +36,16 @@ LONG = 5.0  # seconds
 
 def timed(spark, run, limit: float) -> float:
     """Seconds of a run; raises TimeoutError when it is stopped at the limit."""
-    name, over = f"bench-{time.monotonic_ns()}", threading.Event()
+    ended, over = threading.Event(), threading.Event()
 
     def stop() -> None:
-        over.set()
-        spark.interruptTag(name)
+        # a query is a row of jobs: those that begin later are stopped as well
+        if not ended.wait(limit):
+            over.set()
+            while not ended.wait(0.5):
+                spark.sparkContext.cancelAllJobs()
 
-    timer = threading.Timer(limit, stop)
-    timer.daemon = True
-    spark.addTag(name)
-    timer.start()
+    threading.Thread(target=stop, daemon=True).start()
     start = time.perf_counter()
     try:
         run().write.format("noop").mode("overwrite").save()
@@ -54,8 +54,7 @@ def timed(spark, run, limit: float) -> float:
             raise TimeoutError(f"stopped after {limit} s") from e
         raise
     finally:
-        timer.cancel()
-        spark.removeTag(name)
+        ended.set()
     return time.perf_counter() - start
 
 

@@ -120,6 +120,23 @@ def vectors_by_class_means(t: Tables):
     return matrix.matrix_product(left, means).select("i", "j", F.round("v", 6).alias("v"))
 
 
+@query(
+    "arr_matmul_tiles",
+    """WITH a AS (SELECT vec_id AS i, r.k, CAST(embedding[r.k + 1] AS DOUBLE) AS v, label FROM embeddings, range(0, 64) AS r(k)),
+            b AS (SELECT k, label AS j, round(avg(v), 9) AS v FROM a GROUP BY 1, 2)
+       SELECT a.i, b.j, round(sum(a.v * b.v), 6) AS v FROM a JOIN b ON a.k = b.k GROUP BY 1, 2""",
+)
+def vectors_by_class_means_in_tiles(t: Tables):
+    vectors = t.embeddings.select("vec_id", "label", _doubles().alias("e"))
+    means = (
+        vectors.select("label", F.posexplode("e").alias("i", "x"))
+        .groupBy("i", F.col("label").alias("j"))
+        .agg(F.round(F.avg("x"), 9).alias("v"))
+    )
+    product = matrix.tile_product(matrix.row_tiles(vectors, "vec_id", "e", width=16), matrix.cell_tiles(means, 16, 16), 16)
+    return product.select("i", "j", F.round("v", 6).alias("v"))
+
+
 @query(
     "arr_weighted",
     """SELECT vec_id, round(list_sum(list_transform(embedding, lambda x, i:

@@ -149,3 +149,20 @@ def test_spelling_of_long_words(spark):
     asked = [long[:5] + long[6:20] + "z" + long[20:], long[:1] + long[2] + long[1] + long[3:], "x" * 31, "x" * 30, "y" * 5000, "ba", ""]
     got = {r["word"]: r["correction"] for r in corpus.correct_words(spark.createDataFrame([(w,) for w in asked], "word string"), known).collect()}
     assert got == {asked[0]: long, asked[1]: long, "x" * 31: "x" * 33, "x" * 30: "x" * 30, "y" * 5000: "y" * 5000, "ba": "ab", "": "ab"}
+
+
+@pytest.mark.parametrize("limit", [10**9, 0])
+def test_tiles_multiply_as_numpy_does(spark, limit):
+    from tallyloom.operators import matrix
+
+    rnd = np.random.default_rng(8)
+    a, b = rnd.normal(size=(70, 23)), rnd.normal(size=(23, 11))
+    b[5:9, 3] = 0.0  # absent cells are zero
+    rows = spark.createDataFrame([(f"r{i}", [float(x) for x in a[i]]) for i in range(70)], "id string, v array<double>").repartition(3)
+    cells = spark.createDataFrame([(i, f"c{j}", float(b[i, j])) for i in range(23) for j in range(11) if b[i, j]], "i int, j string, v double")
+    left = matrix.row_tiles(rows, "id", "v", height=16, width=8)
+    got = matrix.tile_product(left, matrix.cell_tiles(cells, 8, 8), 8, limit)
+    want = a @ b
+    found = {(r["i"], r["j"]): r["v"] for r in got.collect()}
+    assert len(found) == 70 * 11 and all(abs(found[f"r{i}", f"c{j}"] - want[i, j]) < 1e-9 for i in range(70) for j in range(11))
+    assert left.count() <= 3 * 3 * -(-70 // 16) < 70 * 23 / 20  # far fewer rows than numbers
