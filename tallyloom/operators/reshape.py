@@ -52,11 +52,12 @@ def pivot_table(
     """Aggregating pivot, the mean by default.
 
     Several column keys become one flattened header such as ``A_O``, and
-    ``values`` names all headers.
+    ``values`` names all headers. Rows with a null key count under no header.
     """
     if not columns:
         return df.groupBy(*index).agg(f(value).alias(value))
-    header = F.concat_ws("_", *columns)
+    # a null key is no header; concat_ws alone would make it an empty one
+    header = F.when(F.concat(*[F.col(c).cast("string") for c in columns]).isNotNull(), F.concat_ws("_", *columns))
     headed = _only(df.withColumn("_header", header), "_header", values)
     return headed.groupBy(*index).pivot("_header", list(values)).agg(f(value))
 
