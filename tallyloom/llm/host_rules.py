@@ -148,7 +148,7 @@ def judge(counted: DataFrame, host: str, rejected: DataFrame) -> DataFrame:
 def judge_documents(docs: DataFrame, text: str = "text", host: str = "source", margin: float = 2.0) -> DataFrame:
     """``docs`` with their counts, base_failed and kept."""
     rules = production_rules()
-    # counted once and written with the texts: hosts are summed from it, and verdicts joined to it
-    counted = materialize(with_counts(docs, text), "counted")
+    # counted twice, for the hosts and for the verdicts: writing the texts with their counts takes their size in disk
+    counted = with_counts(docs, text)
     rejected = materialize(rejected_hosts(host_rates(counted, host, rules), rules, margin), "rejected-hosts")
     return judge(counted, host, rejected)

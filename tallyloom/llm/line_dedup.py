@@ -148,21 +148,21 @@ def drop_repeated_lines(
     keyed = docs.select(*[F.col(f"`{c}`") for c in others], *_keys(id_column, text))
     marked = keyed.join(removed, _DOC, "left")
     lines, gone = F.split(F.col(text), _BREAK, -1), F.col("_removed")
-    cut = (
-        marked.withColumn("_lines", lines)
-        .withColumn("_breaks", F.when(gone.isNotNull(), F.regexp_extract_all(F.col(text), F.lit(_BREAK), F.lit(0))))
-        .withColumn("_kept", F.when(gone.isNotNull(), F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), gone)))
+    parts = F.struct(
+        lines.alias("lines"), F.regexp_extract_all(F.col(text), F.lit(_BREAK), F.lit(0)).alias("breaks"), gone.alias("gone")
     )
-    left = F.array_join(
-        F.transform(
-            "_kept",
-            lambda i, k: F.concat(
-                F.get("_lines", i), F.when(k < F.size("_kept") - 1, F.get("_breaks", i)).otherwise(F.lit(""))
-            ),
-        ),
-        "",
-    )
-    worded = F.filter("_lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+
+    def rebuilt(p: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(p["lines"]) - 1), p["gone"])
+        joined = F.transform(
+            kept, lambda i, k: F.concat(F.get(p["lines"], i), F.when(k < F.size(p["lines"]) - F.size(p["gone"]) - 1, F.get(p["breaks"], i)).otherwise(""))
+        )
+        return F.array_join(joined, "")
+
+    # bound as a variable: a column that is used inside a lambda would be worked out for every line
+    left = F.when(gone.isNotNull(), F.get(F.transform(F.array(parts), rebuilt), F.lit(0)))
+    cut = marked
+    worded = F.filter(lines, lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     starts = F.filter(gone, lambda p, k: (k == 0) | (F.get(gone, k - 1) != p - 1))
     return cut.select(
         *[F.coalesce(left, F.col(text)).alias(c) if c == text else F.col(f"`{c}`") for c in others],
