@@ -18,9 +18,9 @@ from tallyloom.llm.common import WORD, materialize
 ORACLE_SQL = None
 
 
-def _edited(docs: DataFrame, edited: DataFrame) -> DataFrame:
+def _edited(docs: DataFrame, edited: DataFrame, has_words: Column) -> DataFrame:
     """``edited`` with the columns of ``docs``, without those that lost all words, and with their new lengths."""
-    left = edited.filter((F.col("n_removed") == 0) | F.col("text").rlike(WORD))
+    left = edited.filter((F.col("n_removed") == 0) | has_words)
 
     def column(c: str) -> Column:
         if c != "n_chars":
@@ -37,7 +37,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of repeated line runs."""
-    return _edited(docs, line_dedup.drop_repeated_lines(docs))
+    # told from the counts, so that no text is put together to be looked at
+    return _edited(docs, line_dedup.drop_repeated_lines(docs), F.col("n_lines") > F.col("n_removed"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +48,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of earlier ones."""
-    return _edited(docs, substring_dedup.remove_repeats(docs))
+    return _edited(docs, substring_dedup.remove_repeats(docs), F.col("text").rlike(WORD))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
