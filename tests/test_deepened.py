@@ -48,6 +48,32 @@ def test_disjoint_bands_make_few_pairs(spark):
     assert grid.groupBy("_level", "_cell").count().agg(F.max("count")).first()[0] <= 2
 
 
+@pytest.mark.parametrize("broadcast_rows", [10**6, 0])
+def test_bands_that_all_overlap_make_no_pairs(spark, broadcast_rows):
+    # every band holds the middle, so pairs would be values times bands
+    rnd = random.Random(4)
+    inf = float("inf")
+    values = [rnd.uniform(-60, 60) for _ in range(300)] + [0.0, 5.0, -5.0, inf, -inf, None, float("nan")]
+    bands = [(rnd.choice([None, i]), rnd.choice([None, -rnd.uniform(0, 50), -5.0]), rnd.choice([None, rnd.uniform(0, 50), 5.0]), f"b{i}") for i in range(500, 0, -1)]
+    bands = [b for b in bands if b[0] is None or b[0] > 490 or None not in b] + [(600, -inf, -58.0, "low"), (601, 58.0, inf, "high"), (0, float("nan"), None, "no"), (602, 57.0, float("nan"), None)]
+
+    def first(x):
+        if x is None or x != x:
+            return None
+        fits = [b for b in bands if b[0] is not None and (b[1] is None or x >= b[1]) and (b[2] is None or b[2] != b[2] or x <= b[2])]
+        return min(fits, key=lambda b: b[0])[3] if fits else None
+
+    rows = spark.createDataFrame([(k, x) for k, x in enumerate(values)], "k int, x double")
+    table = spark.createDataFrame(bands, "i int, lo double, hi double, name string")
+    got = intervals.first_bands(rows, "x", table, "lo", "hi", "i", "name", "band", broadcast_rows)
+    assert {r["k"]: r["band"] for r in got.collect()} == {k: first(x) for k, x in enumerate(values)}
+    steps = intervals.first_on_steps(table, "lo", "hi", "i", "name")
+    assert steps.count() <= 2 * len(bands) and steps.filter("at IS NOT NULL").count() > 0
+    levels = (2 * steps.count() + 2).bit_length()
+    nodes = spark.range(1).select(intervals._nodes(F.lit(3), F.lit(2**40), 42).alias("n")).first()["n"]
+    assert len(nodes) <= 2 * 42 and sum(2 ** n["level"] for n in nodes) == 2**40 - 2 and levels < 13
+
+
 def test_sketches_by_day(spark):
     path = scratch_path(spark, "sketches")
     rows = spark.range(60_000).select(
