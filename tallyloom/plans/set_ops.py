@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallyloom.operators.joins import keep_missing
-from tallyloom.operators.sets import bag_difference, no_repeats, same_bag, same_set
+from tallyloom.operators.sets import bag_difference, compare
 from tallyloom.plans.registry import Tables, query
 
 
@@ -104,5 +104,5 @@ def equal_tables(t: Tables):
         "customers of orders": (t.orders.select(F.col("o_custkey").alias("k")), t.customer.select(F.col("c_custkey").alias("k"))),
         "lines twice over": (lines, lines.repartition("l_partkey")),
     }
-    rows = [(name, same_set(a, b), same_bag(a, b), no_repeats(a)) for name, (a, b) in pairs.items()]
+    rows = [(name, *compare(a, b)) for name, (a, b) in pairs.items()]
     return t.spark.createDataFrame(rows, "pair string, same_set boolean, same_rows boolean, no_repeats boolean")

@@ -117,6 +117,25 @@ def test_fingerprints_tell_one_row(spark):
     assert not sets.no_repeats(twice) and sets.no_repeats(rows.distinct())
 
 
+def test_tables_are_compared_in_parts_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(sets, "ROWS_PER_TASK", 100)
+    rows = spark.range(6_000).select((F.col("id") % 5_000).alias("a"), F.when(F.col("id") % 7 > 0, (F.col("id") % 5_000).cast("string")).alias("b c"))
+    copies = sets._copies(rows, rows.repartition(3, "a"), 12_000)
+    plan = copies._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan
+    sizes = [r["count"] for r in copies.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) > 100 and max(sizes) <= 150  # 5,858 different rows or fewer, in 120 parts
+    bags = {
+        "same": ([1, 2, 2, None], [2, None, 1, 2]), "copies": ([1, 2, 2, None], [1, 1, 2, None]), "fewer": ([1, 2], [1, 2, 2]),
+        "null": ([1, None], [1]), "other": ([1, 3], [1, 2]), "none": ([], []), "left": ([1], []), "right": ([], [1]),
+    }
+    for name, (a, b) in bags.items():
+        left, right = (spark.createDataFrame([(x,) for x in side], "x int") for side in (a, b))
+        want = (set(a) == set(b), sorted(map(str, a)) == sorted(map(str, b)), len(set(a)) == len(a))
+        assert tuple(sets.compare(left, right)) == want, name
+        assert (sets.same_set(left, right), sets.same_bag(left, right), sets.no_repeats(left)) == want, name
+
+
 @pytest.mark.parametrize("pieces", [1, 5])
 def test_rows_with_their_groups_state(spark, pieces):
     rnd = random.Random(2)
