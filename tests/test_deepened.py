@@ -1,9 +1,11 @@
 """Interval joins, day sketches, fingerprints, two-phase group functions, VARIANT members and spelling's work."""
 
 import random
+import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -211,3 +213,34 @@ def test_tiles_multiply_as_numpy_does(spark, limit):
     found = {(r["i"], r["j"]): r["v"] for r in got.collect()}
     assert len(found) == 70 * 11 and all(abs(found[f"r{i}", f"c{j}"] - want[i, j]) < 1e-9 for i in range(70) for j in range(11))
     assert left.count() <= 3 * 3 * -(-70 // 16) < 70 * 23 / 20  # far fewer rows than numbers
+
+
+def test_language_folds_windows_where_texts_are_read(spark, monkeypatch):
+    # small parts, so that texts are cut; letters of one to four bytes, words of one letter, texts without any
+    monkeypatch.setattr(corpus, "_LETTERS", 50)
+    texts = ["the cat, the dog; x", "Né à ÇA où", "漢字 仮名 交じり文", "𐐨𐐩𐐪 𐐨 a𐐫b", "", None, "12 !?", "a " * 90, "lorem" * 40 + " é"]
+
+    def windows(text):
+        framed = f" {' '.join(re.findall(r'[^\W\d_]+', (text or '').lower()))} "
+        return [framed[k : k + 3] for k in range(len(framed) - 2) if framed[k + 1] != " "]
+
+    got = [[] for _ in texts]
+    for rows, numbers, codes in corpus._windows(pa.array([t if t is None else f" {' '.join(re.findall(r'[^\W\d_]+', t.lower()))} " for t in texts])):
+        for row, number in zip(rows, numbers, strict=True):
+            got[row].append("".join(map(chr, codes[number])))
+    assert got == [windows(t) for t in texts]
+    table = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    assert {r["k"]: r["g"] for r in table.select("k", F.coalesce(corpus.trigrams(F.col("t")), F.array()).alias("g")).collect()} == dict(enumerate(got))
+
+    docs = spark.createDataFrame([(k, t, [None, "en", "fr"][k % 3]) for k, t in enumerate(texts * 3)], "id long, t string, lang string").coalesce(1)
+    languages, model = corpus.language_model(docs, "t", "lang")
+    assert languages == ["en", "fr"] and {r["gram"] for r in model.collect()} == {g for k, t in enumerate(texts * 3) if k % 3 for g in windows(t)}
+    shares = ["share_0", "share_1"]
+    scored, joined = ({r["id"]: tuple(round(r[s], 9) for s in shares) for r in f(docs, "id", "t", model, shares).collect()} for f in (corpus._scored_sums, corpus._joined_sums))
+    assert scored == joined and 1 in scored and not {0, 4, 5} & scored.keys()
+    # what leaves the tasks that read texts is folded: windows are no rows
+    hot = spark.createDataFrame([(k, "the cat and the dog " * 50, "en") for k in range(200)], "id long, t string, lang string").coalesce(1)
+    monkeypatch.undo()
+    one = list(corpus._count_windows(iter(hot.select("lang", corpus._framed(F.col("t")).alias("t")).toArrow().to_batches())))
+    assert sum(b.num_rows for b in one) < 100 and sum(b.column(2).to_pylist()[0] for b in one) > 0
+    assert "Generate" not in corpus.guess_language(hot, "id", "t", "lang")._jdf.queryExecution().executedPlan().toString()
