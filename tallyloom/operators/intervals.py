@@ -2,9 +2,9 @@
 
 The bounds of all bands, in order, are the steps of a line. Of the bands over a
 step, or over the gap above it, only the first counts; it is found by nodes of
-a binary tree over the steps. A band lies on two nodes of a level at most and a
-step looks up one node of each level, so the work follows the number of bands
-and not how many of them overlap. A value then needs its step alone: steps of a
+a binary tree over the steps. A band lies on two nodes of a level at most, and
+what the nodes know is handed down to the steps piece by piece of the tree, so
+the work follows the number of bands and not how many of them overlap. A value then needs its step alone: steps of a
 counted size go to every task, and the values stay where they are.
 
 More steps than that are joined by equal cells. A stretch between two steps is
@@ -15,6 +15,8 @@ two; a value looks into one cell of each width that some stretch has.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -27,6 +29,9 @@ from tallyloom.session import materialize
 BROADCAST_ROWS = 1_500_000
 BROADCAST_BYTES = 100_000_000
 
+# Leaves of the tree, as a power of two, that one task settles at once.
+_PIECE = 14
+
 # Widths below 2^-40 share one grid: cells so narrow that no more than a few values are in one.
 _NARROWEST = -40
 _LOW, _HIGH = -1.7e308, 1.7e308
@@ -71,7 +76,9 @@ def first_on_steps(bands: DataFrame, lo: str, hi: str, order: str, name: str) ->
     # not a number is past all values, so as an upper bound it is open
     ends = bands.select(low.alias("lo"), F.when(F.isnan(high), infinity).otherwise(high).alias("hi"), F.struct(F.col(order).alias("order"), F.col(name).alias("name")).alias("band"))
     right_way = ends.filter((F.col("lo") <= F.col("hi")) & F.col("band.order").isNotNull())
-    kept = materialize(right_way.groupBy("lo", "hi").agg(F.min_by("band", "band.order").alias("band")), "bands")
+    different = right_way.groupBy("lo", "hi").agg(F.min_by("band", "band.order").alias("band"))
+    # the first band has the least number
+    kept = materialize(ordering.row_index(different, [F.col("band.order"), F.col("lo"), F.col("hi")], "number"), "bands")
     bounds = kept.select(F.col("lo").alias("step")).union(kept.select("hi")).distinct()
     steps = materialize(ordering.row_index(bounds, [F.col("step")], "rank"), "steps")
     # a step is an odd leaf and the gap above it the even one after it
@@ -79,16 +86,45 @@ def first_on_steps(bands: DataFrame, lo: str, hi: str, order: str, name: str) ->
     placed = kept.join(steps.select(F.col("step").alias("lo"), (2 * F.col("rank") + 1).alias("first")), "lo").join(
         steps.select(F.col("step").alias("hi"), (2 * F.col("rank") + 1).alias("last")), "hi"
     )
-    on_nodes = placed.select("band", F.explode(_nodes(F.col("first"), F.col("last"), levels)).alias("on")).select("on.*", "band")
-    nodes = on_nodes.groupBy("level", "node").agg(F.min_by("band", "band.order").alias("band"))
-    leaf = F.explode(F.array(2 * F.col("rank") + 1, 2 * F.col("rank") + 2)).alias("leaf")
-    above = F.explode(F.transform(F.sequence(F.lit(0), F.lit(levels - 1)), lambda k: F.struct(k.alias("level"), F.call_function("shiftright", "leaf", k).alias("node"))))
-    asked = steps.select(leaf).select("leaf", above.alias("on")).select("leaf", "on.*")
-    best = asked.join(nodes, ["level", "node"]).groupBy("leaf").agg(F.min_by("band", "band.order").alias("band"))
+    on_nodes = placed.select("number", F.explode(_nodes(F.col("first"), F.col("last"), levels)).alias("on")).select("on.*", "number")
+    nodes = on_nodes.groupBy("level", "node").agg(F.min("number").alias("number"))
+    best = nodes.select(F.explode(_pieces(F.col("level"), F.col("node"))).alias("piece"), "level", "node", "number").groupBy("piece").applyInArrow(
+        _least_on_leaves(_PIECE), "leaf long, number long"
+    )
+    number = F.col("number")
     here = best.groupBy(F.floor((F.col("leaf") - 1) / 2).alias("rank")).agg(
-        F.max_by("band.name", F.when(F.col("leaf") % 2 == 1, 1)).alias("at"), F.max_by("band.name", F.when(F.col("leaf") % 2 == 0, 1)).alias("above")
+        F.max(F.when(F.col("leaf") % 2 == 1, number)).alias("_at"), F.max(F.when(F.col("leaf") % 2 == 0, number)).alias("_above")
     )
-    return steps.join(here, "rank", "left").select("step", "rank", "at", "above")
+    names = kept.select("number", "band.name")
+    found = steps.join(here, "rank", "left")
+    for c in ("at", "above"):
+        found = found.join(names.select(number.alias(f"_{c}"), F.col("name").alias(c)), f"_{c}", "left")
+    return found.select("step", "rank", "at", "above")
+
+
+def _pieces(level: Column, node: Column) -> Column:
+    """The pieces of the tree, of 2^``_PIECE`` leaves each, that a node lies in or covers. Nodes above the pieces are few."""
+    start = F.call_function("shiftleft", node, level - _PIECE)
+    end = F.call_function("shiftleft", node + 1, level - _PIECE) - 1
+    return F.when(level > _PIECE, F.sequence(start, end)).otherwise(F.array(F.call_function("shiftright", node, _PIECE - level)))
+
+
+def _least_on_leaves(bits: int) -> Callable[[tuple[pa.Scalar, ...], pa.Table], pa.Table]:
+    """A function giving the least number of the nodes over each leaf of a piece of 2^``bits``, for leaves that have one."""
+
+    def least_in(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        piece, none = key[0].as_py(), np.iinfo(np.int64).max
+        level, node, number = (rows[c].to_numpy() for c in ("level", "node", "number"))
+        least = np.array([min(number[level >= bits], default=none)], dtype=np.int64)
+        for k in range(bits - 1, -1, -1):
+            least = np.repeat(least, 2)
+            here = level == k
+            at = node[here] - (piece << (bits - k))
+            least[at] = np.minimum(least[at], number[here])
+        leaves = np.flatnonzero(least < none)
+        return pa.table({"leaf": leaves + (piece << bits), "number": least[leaves]})
+
+    return least_in
 
 
 def _stretches(steps: DataFrame, least: float, most: float) -> tuple[DataFrame, list[int]]:

@@ -51,7 +51,8 @@ def test_disjoint_bands_make_few_pairs(spark):
 
 
 @pytest.mark.parametrize("broadcast_rows", [10**6, 0])
-def test_bands_that_all_overlap_make_no_pairs(spark, broadcast_rows):
+def test_bands_that_all_overlap_make_no_pairs(spark, broadcast_rows, monkeypatch):
+    monkeypatch.setattr(intervals, "_PIECE", intervals._PIECE if broadcast_rows else 3)
     # every band holds the middle, so pairs would be values times bands
     rnd = random.Random(4)
     inf = float("inf")
